@@ -11,30 +11,26 @@ from pyspark.sql import types as T
 from .names import quoted
 
 _RANGE = "_range"
-_SAMPLES_PER_RANGE = 20
+_SAMPLES_PER_RANGE = 8
+_MOST_RANGES = 2**14
 
 
 def with_row_number(
-    df: DataFrame, order: Sequence[str], name: str, start: int = 0, ranges: int = 255
+    df: DataFrame, order: Sequence[str], name: str, start: int = 0, rows_per_range: int = 50_000
 ) -> DataFrame:
     """Number all rows from ``start`` in ascending ``order``, nulls last.
 
     The rows are cut into ranges of the *whole* order key, so that many rows with the same first
     column (such as a null id) are cut further by the next ones. Three passes:
 
-    1. a sample of the order columns gives the range bounds, at most ``ranges`` rows;
+    1. a sample of the order columns gives the range bounds: some rows per range, at most 2^17;
     2. the rows of each range are counted, which gives the number its first row gets;
     3. each range is sorted on its own and numbered from there.
 
     The bounds are plain values in the plan: a task that runs again puts its rows into the same
     ranges. Numbers are reproducible if no two rows agree on all order columns.
     """
-    ranges = _full_tree(ranges)
-    bounds = _bounds(df, order, ranges)
-    if not bounds:
-        numbered = df.withColumn(_RANGE, F.lit(0))
-    else:
-        numbered = df.withColumn(_RANGE, _range_of(df, order, bounds, ranges))
+    numbered = _with_range(df, order, _bounds(df, order, rows_per_range))
 
     running = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -42,7 +38,7 @@ def with_row_number(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(_RANGE, F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy(_RANGE).orderBy(*(F.col(quoted(c)).asc_nulls_last() for c in order))
+    within = Window.partitionBy(_RANGE).orderBy(*_ascending(order))
     position = F.row_number().over(within) + F.col("_before") + F.lit(start - 1)
     return (
         numbered.join(F.broadcast(offsets), _RANGE)
@@ -51,45 +47,45 @@ def with_row_number(
     )
 
 
-def _full_tree(ranges: int) -> int:
-    """Number of bounds of a full binary search: 2^k - 1."""
-    return (1 << max(1, ranges.bit_length())) - 1
-
-
-def _order_key(df: DataFrame, order: Sequence[str]) -> list[Column]:
-    """Fields whose comparison as a struct sorts nulls last (a struct alone sorts them first)."""
-    return [part for c in order for part in (F.col(quoted(c)).isNull(), F.col(quoted(c)))]
+def _ascending(order: Sequence[str]) -> list[Column]:
+    return [F.col(quoted(c)).asc_nulls_last() for c in order]
 
 
-def _bounds(df: DataFrame, order: Sequence[str], ranges: int) -> list:
+def _bounds(df: DataFrame, order: Sequence[str], rows_per_range: int) -> list:
+    """Order keys that cut the rows into 2^k ranges of roughly equal size; none if one is enough."""
     keys = df.select(*map(quoted, order))
     rows = keys.count()
-    wanted = ranges * _SAMPLES_PER_RANGE
-    if rows <= wanted:
+    if rows <= rows_per_range:
         return []
-    sample = (
-        keys.sample(wanted / rows, seed=7)
-        .orderBy(*(F.col(quoted(c)).asc_nulls_last() for c in order))
-        .collect()
-    )
-    return [sample[len(sample) * i // (ranges + 1)] for i in range(1, ranges + 1)] if sample else []
-
-
-def _range_of(df: DataFrame, order: Sequence[str], bounds: list, ranges: int) -> Column:
-    """How many bounds are at most the row's key, by binary search."""
-    types = [df.schema[c].dataType for c in order]
-
-    def literal(row) -> Column:
-        parts: list[Column] = []
-        for value, data_type in zip(row, types):
-            parts += [F.lit(value is None), F.lit(value).cast(data_type)]
-        return F.struct(*(p.alias(f"f{i}") for i, p in enumerate(parts)))
-
-    table = F.array(*map(literal, bounds))
-    key = F.struct(*(p.alias(f"f{i}") for i, p in enumerate(_order_key(df, order))))
-    steps = [1 << i for i in reversed(range(ranges.bit_length()))]
-    return F.aggregate(
-        F.array(*map(F.lit, steps)),
-        F.lit(0),
-        lambda low, step: F.when(F.element_at(table, low + step) <= key, low + step).otherwise(low),
-    )
+    ranges = min(_MOST_RANGES, 1 << (rows // rows_per_range).bit_length())
+    fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / rows)
+    sample = keys.sample(fraction, seed=7).orderBy(*_ascending(order)).collect()
+    return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
+
+
+def _with_range(df: DataFrame, order: Sequence[str], bounds: list) -> DataFrame:
+    """Add how many bounds are at most the row's key, by binary search in their sorted array.
+
+    Keys are compared as structs; since a null sorts first there, each value is preceded by
+    whether it is null.
+    """
+    ranged = df.withColumn(_RANGE, F.lit(0))
+    if not bounds:
+        return ranged
+    fields = [df.schema[c] for c in order]
+    parts = []
+    for i, field in enumerate(fields):
+        parts.append(T.StructField(f"is_null_{i}", T.BooleanType(), False))
+        parts.append(T.StructField(f"value_{i}", field.dataType))
+    rows = [tuple(part for value in bound for part in (value is None, value)) for bound in bounds]
+    schema = T.StructType([T.StructField("bounds", T.ArrayType(T.StructType(parts)))])
+    table = df.sparkSession.createDataFrame([(rows,)], schema).scalar()
+
+    key = []
+    for i, field in enumerate(fields):
+        key.append(F.col(quoted(field.name)).isNull().alias(f"is_null_{i}"))
+        key.append(F.col(quoted(field.name)).alias(f"value_{i}"))
+    for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
+        reached = F.element_at(table, F.col(_RANGE) + step) <= F.struct(*key)
+        ranged = ranged.withColumn(_RANGE, F.col(_RANGE) + F.when(reached, step).otherwise(0))
+    return ranged
