@@ -12,16 +12,28 @@ LARGE = "Large"
 MEDIUM = "Medium"
 LOW = "Low"
 
+# The integers whose square and cube fit into 64 bits.
+SQUARE_FITS = (-3037000499, 3037000499)
+CUBE_FITS = (-2097152, 2097151)
+
 
 def square(number: Column) -> Column:
-    """64-bit square; null where it does not fit."""
+    """64-bit square; null where it does not fit. The range is tested first, since failing a
+    multiplication is far slower than not doing it."""
     wide = number.cast("long")
-    return F.try_multiply(wide, wide)
+    return F.when(wide.between(*SQUARE_FITS), wide * wide)
 
 
 def cube(number: Column) -> Column:
     """64-bit cube; null where it does not fit."""
-    return F.try_multiply(square(number), number.cast("long"))
+    wide = number.cast("long")
+    return F.when(wide.between(*CUBE_FITS), wide * wide * wide)
+
+
+def try_integer(text: Column, data_type: str = "int") -> Column:
+    """Integer from text, null where it is none. Text without a digit is dismissed before the
+    cast, whose failure is slow."""
+    return F.when(text.rlike("[0-9]"), text.try_cast(data_type))
 
 
 def categorize(amount: Column) -> Column:

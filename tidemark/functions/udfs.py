@@ -11,11 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scalars import LARGE, LARGE_ABOVE, LOW, MEDIUM, MEDIUM_ABOVE
-
-# The integers whose square and cube fit into 64 bits.
-SQUARE_FITS = (-3037000499, 3037000499)
-CUBE_FITS = (-2097152, 2097151)
+from .scalars import CUBE_FITS, LARGE, LARGE_ABOVE, LOW, MEDIUM, MEDIUM_ABOVE, SQUARE_FITS
 
 
 def _power(numbers: pd.Series, exponent: int, fits: tuple[int, int]) -> pd.Series:

@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .names import quoted
+from .names import KeySpec, key_pairs, quoted
 from .sizing import BROADCAST_BYTES, is_small
 
 
@@ -25,31 +25,50 @@ def same_key(keys: Sequence[str], left: str, right: str) -> Column:
     return reduce(and_, (F.col(f"{left}.{quoted(k)}") == F.col(f"{right}.{quoted(k)}") for k in keys))
 
 
-def known_keys(rows: DataFrame, table: DataFrame, keys: Sequence[str], broadcast_bytes: int) -> DataFrame:
-    """Distinct keys of ``table`` that matter to ``rows``.
-
-    With few rows, their keys are broadcast to the table's scan; what passes is no larger than
-    they are and may be broadcast in turn. Otherwise all distinct keys, pre-aggregated per task.
-    """
-    present = table.select(*keys)
-    wanted = rows.select(*keys).distinct()
-    if is_small(wanted, broadcast_bytes):
-        return F.broadcast(present.join(F.broadcast(wanted), list(keys), "left_semi").distinct())
-    return present.distinct()
-
-
 def semi_join(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame, table: DataFrame, on: KeySpec, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows whose key occurs in ``table``."""
-    return rows.join(known_keys(rows, table, keys, broadcast_bytes), list(keys), "left_semi")
+    return _by_membership(rows, table, on, "left_semi", broadcast_bytes)
 
 
 def anti_join(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+    rows: DataFrame, table: DataFrame, on: KeySpec, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Rows whose key does not occur in ``table``; a null key occurs nowhere."""
-    return rows.join(known_keys(rows, table, keys, broadcast_bytes), list(keys), "left_anti")
+    return _by_membership(rows, table, on, "left_anti", broadcast_bytes)
+
+
+def _by_membership(rows: DataFrame, table: DataFrame, on: KeySpec, how: str, broadcast_bytes: int) -> DataFrame:
+    pairs = key_pairs(on, rows.columns, table.columns)
+    small = is_small(rows.select(*(quoted(a) for a, _ in pairs)), broadcast_bytes)
+    return join_members(rows, table, pairs, how, small)
+
+
+def join_members(
+    rows: DataFrame, table: DataFrame, pairs: Sequence[tuple[str, str]], how: str, small: bool
+) -> DataFrame:
+    """Semi or anti join of ``rows`` with the keys of ``table``; ``pairs`` of key columns.
+
+    If the rows are small, their keys are broadcast to the table's scan, which is not shuffled;
+    the distinct keys that pass are no larger than the rows and are broadcast in turn.
+
+    Otherwise the table's keys are made distinct, which takes a hot key out of it before the
+    shuffle. The second condition of the join follows from the first. It makes Spark shuffle both
+    sides for the join itself, which is what adaptive execution needs to split a hot key of
+    ``rows``.
+    """
+    keys = [F.col(f"r.{quoted(a)}") for a, _ in pairs]
+    known = table.select(*(F.col(quoted(b)).alias(f"k{i}") for i, (_, b) in enumerate(pairs)))
+    known_keys = [F.col(f"k.k{i}") for i in range(len(pairs))]
+    equal = reduce(and_, (a == b for a, b in zip(keys, known_keys)))
+    if small:
+        wanted = rows.select(*(quoted(a) for a, _ in pairs)).alias("r")
+        known = known.alias("k").join(F.broadcast(wanted), equal, "left_semi").distinct()
+        return rows.alias("r").join(F.broadcast(known).alias("k"), equal, how)
+    return rows.alias("r").join(
+        known.distinct().alias("k"), equal & (F.xxhash64(*keys) == F.xxhash64(*known_keys)), how
+    )
 
 
 def within_interval(start: Column, instant: Column, length: str) -> Column:

@@ -9,7 +9,8 @@ the change rows whose key the target lacks are added by an anti join. No outer j
   of a left join, which it cannot do for a full outer join, and the target keys of the anti join
   are made distinct before their shuffle, so a hot key arrives there once per task.
 
-Change rows with a null key never match; they skip both joins.
+Change rows with a null key never match; they skip both joins. The change set is written once
+before it is measured, matched and inserted, so that all three see the same rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+from .joins import join_members
 from .names import KeySpec, as_expr, find, key_pairs, must_find, quoted
 from .sizing import BROADCAST_BYTES, all_present, measure_change_set
 
@@ -62,15 +65,19 @@ def merge(
     aliases: tuple[str, str] = ("t", "s"),
     evolve: bool = False,
     with_action: bool = False,
+    materialize_source: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Return the target after the merge.
 
     Clauses are tried in order and the first whose condition is true applies. Conditions and
     values see the two relations under ``aliases``. ``evolve`` lets the result gain columns that
-    only the change set has. ``with_action`` adds ``_action``: kept, updated or inserted.
+    only the change set has. ``with_action`` adds ``_action``: kept, updated or inserted. A change
+    set that is a stored table already needs no ``materialize_source``.
     """
     pairs = key_pairs(on, target.columns, source.columns)
+    if materialize_source:
+        source = materialize(source, "change-set")
     source_keys = [b for _, b in pairs]
     has_key = all_present(source_keys)
     keyed = source.where(has_key)
@@ -171,9 +178,10 @@ def _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small)
     for field in schema.fields:
         old = find(target.columns, field.name)
         kept = F.col(f"{t}.{quoted(old)}") if old else F.lit(None).cast(field.dataType)
-        values = [(cond, sets.get(field.name, kept).cast(field.dataType)) for cond, sets in clauses]
-        set_here = any(field.name in sets for _, sets in clauses)
-        columns.append((_choose(present, values, kept) if set_here else kept).alias(field.name))
+        if any(field.name in sets for _, sets in clauses):
+            values = [(cond, sets.get(field.name, kept).cast(field.dataType)) for cond, sets in clauses]
+            kept = _choose(present, values, kept)
+        columns.append(kept.alias(field.name))
     action = _choose(present, [(cond, F.lit("updated")) for cond, _ in clauses], F.lit("kept"))
     return rows.select(*columns, action.alias(ACTION))
 
@@ -184,17 +192,7 @@ def _insert_rows(
     if not not_matched:
         return []
     s = aliases[1]
-    target_keys = target.select(*(F.col(quoted(a)).alias(f"k{i}") for i, (a, _) in enumerate(pairs)))
-    equal = reduce(
-        and_, (F.col(f"{s}.{quoted(b)}") == F.col(f"known.k{i}") for i, (_, b) in enumerate(pairs))
-    )
-    if small:
-        wanted = keyed.select(*(quoted(b) for _, b in pairs)).distinct()
-        known = target_keys.alias("known").join(F.broadcast(wanted.alias(s)), equal, "left_semi")
-        known = F.broadcast(known.distinct())
-    else:
-        known = target_keys.distinct()
-    new_keys = keyed.alias(s).join(known.alias("known"), equal, "left_anti")
+    new_keys = join_members(keyed, target, [(b, a) for a, b in pairs], "left_anti", small).alias(s)
     no_key = source.where(~has_key).alias(s)
 
     clauses = [

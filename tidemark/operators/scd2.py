@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .joins import anti_join, differs, same_key, semi_join
+from .joins import differs, join_members, same_key, semi_join
 from .merge import WhenMatched, WhenNotMatched, merge, reject_shared_matches
 from .names import quoted
-from .sizing import BROADCAST_BYTES, broadcast_if_small, measure_change_set
+from .sizing import BROADCAST_BYTES, broadcast_if_small, is_small, measure_change_set
 
 MERGE_KEY = "merge_key"
 
@@ -87,8 +87,9 @@ def stage_openings(changes: DataFrame, key: str, current: str) -> DataFrame:
 
 def matching_versions(dimension: DataFrame, incoming: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """All versions in the dimension whose key is among the incoming ones."""
-    wanted = broadcast_if_small(incoming.select(key).distinct(), broadcast_bytes)
-    return dimension.join(wanted, key, "left_semi")
+    if is_small(incoming.select(key), broadcast_bytes):
+        return dimension.join(F.broadcast(incoming.select(key)), key, "left_semi")
+    return join_members(dimension, incoming, [(key, key)], "left_semi", small=False)
 
 
 def merge_changes(
@@ -103,13 +104,12 @@ def merge_changes(
     """Stage and merge: a changed current version is closed on the update's start date and a new
     current version is inserted; unknown keys get their first version.
 
-    The staged rows are written once, since the merge reads them several times and finding the
-    changed ones costs a scan of the dimension.
+    Finding the changed rows costs a scan of the dimension's current keys and tracked columns;
+    :func:`apply_changes` does without.
     """
     staged = stage_changed(updates, dimension, key, tracked, validity, broadcast_bytes).unionByName(
         stage_all(updates, key)
     )
-    staged = materialize(staged, "staged")
     opened = {c: F.col(f"s.{quoted(c)}") for c in updates.columns if c in dimension.columns}
     opened[validity.current] = F.lit(True)
     opened[validity.end] = F.lit(None)
@@ -135,6 +135,7 @@ def apply_changes(
     key: str,
     tracked: Sequence[str],
     validity: Validity = DEFAULT,
+    materialize_updates: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The result of :func:`merge_changes` with one join fewer.
@@ -142,6 +143,8 @@ def apply_changes(
     Each dimension row meets its update once; a changed current version leaves as two rows, the
     closed one and its successor. Two updates for one known key are rejected.
     """
+    if materialize_updates:
+        updates = materialize(updates, "updates")
     size = measure_change_set(updates, [key])
     if size.copies > 1:
         reject_shared_matches(dimension, updates.where(F.col(key).isNotNull()), [(key, key)])
@@ -170,5 +173,6 @@ def apply_changes(
     versions = F.when(hit, F.array(closed, version(opened, "u"))).otherwise(F.array(kept))
     carried = joined.select(F.inline(versions))
 
-    first = anti_join(updates, dimension, [key], broadcast_bytes).alias("u")
+    small = size.within(broadcast_bytes)
+    first = join_members(updates, dimension, [(key, key)], "left_anti", small).alias("u")
     return carried.unionByName(first.select(version(opened, "u").alias("v")).select("v.*"))

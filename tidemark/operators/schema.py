@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import try_integer
 from .names import find, quoted
 
 
@@ -54,7 +55,11 @@ def conform(df: DataFrame, wanted: T.StructType) -> DataFrame:
         name = find(df.columns, field.name)
         value = F.lit(None).cast(field.dataType) if name is None else F.col(quoted(name))
         if name is not None and df.schema[name].dataType != field.dataType:
-            value = value.try_cast(field.dataType)
+            from_text = isinstance(df.schema[name].dataType, T.StringType)
+            if from_text and isinstance(field.dataType, T.IntegralType):
+                value = try_integer(value, field.dataType.simpleString())
+            else:
+                value = value.try_cast(field.dataType)
         columns.append(value.alias(field.name))
     return df.select(*columns)
 

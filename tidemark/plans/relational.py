@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import try_integer
 from ..operators.joins import interval_join
 from ..operators.numbering import with_row_number
 from ..operators.rows import sample_by_key
@@ -89,8 +90,8 @@ def cast_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
             "o_orderkey",
             F.col("o_orderdate").cast("date").alias("order_date"),
             F.col("o_totalprice").cast("int").alias("whole_price"),
-            F.substring("o_orderpriority", 1, 1).try_cast("int").alias("priority"),
-            F.col("o_orderstatus").try_cast("int").alias("not_a_number"),
+            try_integer(F.substring("o_orderpriority", 1, 1)).alias("priority"),
+            try_integer(F.col("o_orderstatus")).alias("not_a_number"),
         )
     )
 

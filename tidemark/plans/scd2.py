@@ -147,7 +147,7 @@ def scd2_close_and_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     merged = merge(
         target,
-        materialize(staged, "staged"),
+        staged,
         [(_KEY, scd2.MERGE_KEY)],
         matched=[
             WhenMatched(
@@ -174,7 +174,7 @@ def _merged_by_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return merge(
         target,
-        materialize(change_rows, "change-rows"),
+        change_rows,
         "id",
         matched=[WhenMatched({"t.end_date": date("2000-01-01")}, "t.end_date IS NULL")],
         not_matched=[WhenNotMatched()],
