@@ -1,7 +1,10 @@
+from datetime import timedelta
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from tidemark.operators.joins import anti_join, semi_join
+from tidemark.operators.joins import anti_join, interval_join, semi_join
 from tidemark.operators.scd2 import matching_versions
 from tidemark.operators.sizing import broadcast_if_small, is_small, total_bytes
 
@@ -32,6 +35,27 @@ def test_hot_key_of_the_rows_is_split(spark, tmp_path, conf):
         assert "skew=true" in plan(result)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_interval_join_against_brute_force(spark, conf, kind, zone):
+    """One hot key, all moments near slot borders, across a change to daylight saving time."""
+    conf(spark__sql__session__timeZone=zone)
+    left = spark.range(0, 60).selectExpr(
+        "id AS l", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k",
+        f"cast(TIMESTAMP '2024-03-09 20:00:00' + make_dt_interval(0, 0, 10 * id) AS {kind}) AS shown",
+    )
+    right = spark.range(0, 60).selectExpr(
+        "id AS r", "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS key",
+        f"cast(TIMESTAMP '2024-03-09 20:15:00' + make_dt_interval(0, 0, 15 * id) AS {kind}) AS clicked",
+    )
+    for length in (timedelta(minutes=30), timedelta(hours=2), timedelta(days=1)):
+        got = interval_join(left, right, "k", "key", "shown", "clicked", length)
+        assert got.columns == ["l", "k", "shown", "r", "key", "clicked"]
+        end = F.col("shown") + F.lit(length)
+        plain = left.join(right, F.expr("k = key AND clicked >= shown") & (F.col("clicked") <= end))
+        assert rows(got) == rows(plain) and not plain.isEmpty()
+
+
 def test_size_bound(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "k int, v string")
     assert total_bytes(df) == 2 * 48 + 2

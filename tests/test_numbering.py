@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan, rows
 from tidemark.operators.numbering import _bounds, _with_range, with_row_number
 
 
@@ -28,6 +28,15 @@ def test_hot_first_column_is_cut_by_the_next_one(spark):
     assert counts.agg(F.max("count")).first()[0] < 2000
 
 
+def test_copies_of_one_row_are_cut_too(spark):
+    df = spark.range(0, 9000, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS a", "'x' AS b")
+    numbered = with_row_number(df, ["a"], "nr", rows_per_range=500)
+    assert numbered.columns == ["a", "b", "nr"]
+    assert rows(numbered) == rows(plain(df, ["a"], "nr", 0))
+    window = [n for n in plan(numbered).splitlines() if "Window [row_number()" in n]
+    assert window and "_read" in window[0]
+
+
 def test_other_types_and_start(spark):
     df = spark.range(0, 3000, 1, 4).selectExpr(
         "date_add(DATE '2020-01-01', cast(id % 40 AS int)) AS day",

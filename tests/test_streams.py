@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidemark.streaming.ads import CLICK_DELAY, IMPRESSION_DELAY, clicks, impressions
 from tidemark.streaming.joins import event_time, join_in_range
 from tidemark.streaming.sinks import run_available
 from tidemark.streaming.sources import rate
@@ -16,6 +17,11 @@ IMPRESSIONS = "ad long, shown timestamp_ntz"
 CLICKS = "click_ad long, clicked timestamp_ntz"
 
 
+@pytest.fixture(autouse=True)
+def narrow(conf):
+    conf(spark__sql__shuffle__partitions="2")
+
+
 def stream_of(spark, path, batches, schema):
     """One file per batch, read in order."""
     for i, batch in enumerate(batches):
@@ -39,7 +45,7 @@ def sides(spark, tmp_path, impressions, clicks, watermarks=True):
 
 
 def joined(left, right, how):
-    return join_in_range(left, right, "ad", "click_ad", "shown", "clicked", "1 minute", how)
+    return join_in_range(left, right, "ad", "click_ad", "shown", "clicked", MINUTE, how)
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
@@ -86,6 +92,28 @@ def test_rate(spark):
     assert got == [10 * i for i in range(len(got))] and len(got) > 5
 
 
+def test_clicks_on_rate_streams(spark):
+    """Two generated streams, joined in range, on the clock of this machine."""
+    ticks = rate(spark, rows_per_second=20)
+    shown = impressions(ticks, IMPRESSION_DELAY)
+    clicked = clicks(rate(spark, rows_per_second=20).where("value % 5 = 0"), CLICK_DELAY, lag=10)
+    result = join_in_range(
+        shown, clicked, "impression_ad", "click_ad", "impression_time", "click_time", MINUTE
+    )
+    query = result.writeStream.format("memory").queryName("rate_join").start()
+    try:
+        for _ in range(60):
+            query.awaitTermination(1)
+            if spark.table("rate_join").count() > 3:
+                break
+    finally:
+        query.stop()
+    got = spark.table("rate_join").collect()
+    assert len(got) > 3
+    assert all(r["impression_ad"] == r["click_ad"] and r["click_ad"] % 5 == 0 for r in got)
+    assert all(r["impression_time"] <= r["click_time"] <= r["impression_time"] + MINUTE for r in got)
+
+
 def test_random_click_sample_is_a_streaming_filter(spark):
     sampled = rate(spark).where((F.rand() * 100).cast("int") < 10)
     assert sampled.isStreaming and sampled.columns == ["timestamp", "value"]

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .names import KeySpec, key_pairs, quoted
 from .sizing import BROADCAST_BYTES, is_small
@@ -71,10 +73,9 @@ def join_members(
     )
 
 
-def within_interval(start: Column, instant: Column, length: str) -> Column:
-    """``instant`` lies in ``[start, start + length]``; ``length`` is interval text such as
-    ``1 minute``."""
-    return (instant >= start) & (instant <= start + F.expr(f"INTERVAL {length}"))
+def within_interval(start: Column, instant: Column, length: timedelta) -> Column:
+    """``instant`` lies in ``[start, start + length]``."""
+    return (instant >= start) & (instant <= start + F.lit(length))
 
 
 def interval_join(
@@ -84,13 +85,30 @@ def interval_join(
     right_key: str,
     start: str,
     instant: str,
-    length: str,
-    how: str = "inner",
+    length: timedelta,
 ) -> DataFrame:
-    """Rows of equal key whose ``instant`` lies within ``length`` after ``start``. The key drives
-    the join; the interval filters the pairs inside it."""
-    return left.join(
-        right,
-        (F.col(left_key) == F.col(right_key)) & within_interval(F.col(start), F.col(instant), length),
-        how,
-    )
+    """Rows of equal key whose ``instant`` lies within ``length`` after ``start``.
+
+    Time is cut into slots of that length and the slot is part of the join key, so that a key with
+    very many rows is spread over tasks and is compared with its neighbours in time only. A left
+    row goes to each slot its interval touches (two, as a rule), a right row to its own: every
+    pair meets once.
+    """
+    begin, end = F.col(quoted(start)), F.col(quoted(start)) + F.lit(length)
+    slots = F.sequence(_slot(left, start, begin, length), _slot(left, start, end, length))
+    touched = left.withColumn("_slot", F.explode(slots)).alias("l")
+    placed = right.withColumn("_slot", _slot(right, instant, F.col(quoted(instant)), length)).alias("r")
+    return touched.join(
+        placed,
+        (F.col(f"l.{quoted(left_key)}") == F.col(f"r.{quoted(right_key)}"))
+        & (F.col("l._slot") == F.col("r._slot"))
+        & within_interval(F.col(f"l.{quoted(start)}"), F.col(f"r.{quoted(instant)}"), length),
+    ).drop("_slot")
+
+
+def _slot(df: DataFrame, column: str, moment: Column, length: timedelta) -> Column:
+    """Number of the slot, on the clock that the column's type keeps."""
+    zone_free = isinstance(df.schema[column].dataType, T.TimestampNTZType)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", epoch, moment) if zone_free else F.unix_micros(moment)
+    return F.floor(micros / F.lit(length // timedelta(microseconds=1)))

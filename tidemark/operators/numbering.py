@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .names import quoted
 
 _RANGE = "_range"
+_READ = "_read"
 _SAMPLES_PER_RANGE = 8
 _MOST_RANGES = 2**14
 
@@ -28,9 +30,17 @@ def with_row_number(
     3. each range is sorted on its own and numbered from there.
 
     The bounds are plain values in the plan: a task that runs again puts its rows into the same
-    ranges. Numbers are reproducible if no two rows agree on all order columns.
+    ranges. If rows that agree on all order columns would fill more than a range, the table is
+    first written with a number per row as it is read, which then breaks the ties. Numbers are
+    reproducible if no two rows agree on all order columns.
     """
-    numbered = _with_range(df, order, _bounds(df, order, rows_per_range))
+    columns, order = df.columns, list(order)
+    bounds = _bounds(df, order, rows_per_range)
+    if any(low == high for low, high in zip(bounds, bounds[1:])):
+        df = materialize(df.withColumn(_READ, F.monotonically_increasing_id()), "numbering")
+        order.append(_READ)
+        bounds = _bounds(df, order, rows_per_range)
+    numbered = _with_range(df, order, bounds)
 
     running = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -43,7 +53,7 @@ def with_row_number(
     return (
         numbered.join(F.broadcast(offsets), _RANGE)
         .withColumn(name, position.cast("long"))
-        .drop(_RANGE, "_before")
+        .select(*map(quoted, columns), name)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import materialize
-from .schema import enforce, merged_schema
+from .schema import conform, enforce, merged_schema
 
 
 def create(df: DataFrame, path: str) -> None:
@@ -26,13 +26,17 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
-    """Add rows whose new columns become columns of the table; a shared column keeps its type."""
-    merged_schema(read(df.sparkSession, path).schema, df.schema)
-    df.write.mode("append").parquet(path)
+    """Add rows whose new columns become columns of the table; a shared column keeps its type.
+
+    The files get the table's columns first and the new ones after them, so the table has this
+    order whichever file is read first.
+    """
+    merged = merged_schema(read(df.sparkSession, path).schema, df.schema)
+    conform(df, merged).write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The table with the columns of all its appends."""
+    """The table with the columns of all its appends; their file footers are read in parallel."""
     return spark.read.option("mergeSchema", True).parquet(path)
 
 

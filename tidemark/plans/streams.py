@@ -3,21 +3,17 @@ impression fifty events earlier, which is how clicks come late."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..streaming.joins import event_time, join_in_range, join_on_key
+from ..streaming.ads import CLICK_DELAY, CLICK_LAG, IMPRESSION_DELAY, clicks, impressions
+from ..streaming.joins import join_in_range, join_on_key
 from ..streaming.sinks import run_available
 from ..streaming.sources import parquet_table
 from .registry import query
 
-# How late each stream may be, and how far a click lags its impression.
-IMPRESSION_DELAY = "10 seconds"
-CLICK_DELAY = "20 seconds"
-CLICK_LAG = 50
-
-RANGE = "3 hours"
-
 _STREAMS_SQL = f"""
 WITH impressions AS (SELECT event_id AS impression_ad, ts AS impression_time FROM events),
 clicks AS (
@@ -29,26 +25,21 @@ _IN_RANGE_SQL = """click_ad = impression_ad AND click_time >= impression_time
  AND click_time <= impression_time + INTERVAL 3 HOUR"""
 
 
-def _impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = parquet_table(spark, sf_dir, "events")
-    return event_time(events.selectExpr("event_id AS impression_ad", "ts AS impression_time"), "impression_time")
-
-
-def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = parquet_table(spark, sf_dir, "events").where("event_type = 'click'")
-    clicks = events.selectExpr(f"(event_id - {CLICK_LAG}) AS click_ad", "ts AS click_time").where("click_ad > 0")
-    return event_time(clicks, "click_time")
+    return events.selectExpr("event_id AS value", "ts AS timestamp", "event_type")
 
 
 def _joined_in_range(spark: SparkSession, sf_dir: str, how: str, label: str) -> DataFrame:
+    ticks = _ticks(spark, sf_dir)
     joined = join_in_range(
-        _impressions(spark, sf_dir).withWatermark("impression_time", IMPRESSION_DELAY),
-        _clicks(spark, sf_dir).withWatermark("click_time", CLICK_DELAY),
+        impressions(ticks, IMPRESSION_DELAY),
+        clicks(ticks.where("event_type = 'click'"), CLICK_DELAY),
         "impression_ad",
         "click_ad",
         "impression_time",
         "click_time",
-        RANGE,
+        timedelta(hours=3),
         how,
     )
     return _without_zone(run_available(joined, label))
@@ -74,9 +65,10 @@ FROM impressions JOIN clicks ON impression_ad = click_ad""",
 )
 def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks with their impression, whenever they come."""
+    ticks = _ticks(spark, sf_dir)
     joined = join_on_key(
-        _impressions(spark, sf_dir).withColumnRenamed("impression_ad", "ad_id"),
-        _clicks(spark, sf_dir).withColumnRenamed("click_ad", "ad_id"),
+        impressions(ticks).withColumnRenamed("impression_ad", "ad_id"),
+        clicks(ticks.where("event_type = 'click'")).withColumnRenamed("click_ad", "ad_id"),
         "ad_id",
     )
     return _without_zone(run_available(joined, "inner"))

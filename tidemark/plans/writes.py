@@ -7,10 +7,11 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import writes
 from ..operators.numbering import with_row_number
-from ..operators.schema import SchemaMismatch
+from ..operators.schema import SchemaMismatch, enforce
 from ..session import new_path
 from ..sources.files import table
 from .registry import query
@@ -21,8 +22,7 @@ _NEW = "o_orderdate >= TIMESTAMP '1998-01-01'"
 
 
 def _orders(spark: SparkSession, sf_dir: str, condition: str = "TRUE") -> DataFrame:
-    condition = condition.replace("TIMESTAMP ", "TIMESTAMP_NTZ ")
-    return table(spark, sf_dir, "orders").where(condition)
+    return table(spark, sf_dir, "orders").where(condition.replace("TIMESTAMP ", "TIMESTAMP_NTZ "))
 
 
 @query("write_errorifexists", f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_OLD}")
@@ -54,6 +54,26 @@ def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writes.read(spark, path)
 
 
+@query("enforce_schema", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def enforce_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conforming rows pass, in the order of the schema, also where it forbids nulls; rows with a
+    null there do not."""
+    wanted = T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType(), False),
+            T.StructField("o_custkey", T.LongType(), False),
+            T.StructField("o_totalprice", T.DoubleType()),
+        ]
+    )
+    orders = _orders(spark, sf_dir).select(_COLUMNS[::-1])
+    gaps = orders.withColumn("o_custkey", F.expr("nullif(o_custkey, o_custkey)"))
+    try:
+        enforce(gaps, wanted)
+    except SchemaMismatch:
+        return enforce(orders, wanted)
+    raise AssertionError("nulls were accepted")
+
+
 @query("append_rejected", f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_OLD}")
 def append_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with another set of columns, and rows with another type, leave the table as it was."""

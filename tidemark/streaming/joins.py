@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import interval_join
+from ..operators.joins import within_interval
 
 
 def event_time(df: DataFrame, column: str, delay: str | None = None) -> DataFrame:
@@ -27,7 +29,7 @@ def join_in_range(
     click_key: str,
     impression_time: str,
     click_time: str,
-    length: str,
+    length: timedelta,
     how: str = "inner",
 ) -> DataFrame:
     """Clicks within ``length`` after their impression.
@@ -36,6 +38,6 @@ def join_in_range(
     ``how="leftOuter"`` an impression without click leaves with nulls once its range has passed;
     Spark refuses that form without the watermarks.
     """
-    return interval_join(
-        impressions, clicks, impression_key, click_key, impression_time, click_time, length, how
-    )
+    same_ad = F.col(impression_key) == F.col(click_key)
+    in_time = within_interval(F.col(impression_time), F.col(click_time), length)
+    return impressions.join(clicks, same_ad & in_time, how)
