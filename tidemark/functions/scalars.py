@@ -16,6 +16,9 @@ LOW = "Low"
 SQUARE_FITS = (-3037000499, 3037000499)
 CUBE_FITS = (-2097152, 2097151)
 
+# Fixed value: text that a cast to an integer type accepts, with the blanks it trims.
+INTEGER_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+
 
 def square(number: Column) -> Column:
     """64-bit square; null where it does not fit. The range is tested first, since failing a
@@ -31,9 +34,9 @@ def cube(number: Column) -> Column:
 
 
 def try_integer(text: Column, data_type: str = "int") -> Column:
-    """Integer from text, null where it is none. Text without a digit is dismissed before the
-    cast, whose failure is slow."""
-    return F.when(text.rlike("[0-9]"), text.try_cast(data_type))
+    """Integer from text, null where it is none. Text of another form is dismissed before the cast,
+    whose failure is slow; what is left can only be too large."""
+    return F.when(text.rlike(INTEGER_TEXT), text.try_cast(data_type))
 
 
 def categorize(amount: Column) -> Column:

@@ -156,23 +156,22 @@ def apply_changes(
         & differs(tracked, "d", "u")
     )
 
-    def version(values: dict[str, Column], rest: str | None) -> Column:
-        return F.struct(
-            *(
-                values.get(f.name, F.col(f"{rest}.{quoted(f.name)}") if rest and f.name in known[rest] else F.lit(None))
-                .cast(f.dataType)
-                .alias(f.name)
-                for f in dimension.schema.fields
-            )
-        )
+    columns = {"d": dimension.columns, "u": updates.columns}
+
+    def version(side: str, values: dict[str, Column]) -> Column:
+        """A row of the dimension out of one side of the join, with some values replaced."""
+        fields = []
+        for field in dimension.schema.fields:
+            own = F.col(f"{side}.{quoted(field.name)}") if field.name in columns[side] else F.lit(None)
+            fields.append(values.get(field.name, own).cast(field.dataType).alias(field.name))
+        return F.struct(*fields)
 
-    known = {"d": dimension.columns, "u": updates.columns}
     opened = {validity.current: F.lit(True), validity.end: F.lit(None)}
-    kept = version({}, "d")
-    closed = version({validity.current: F.lit(False), validity.end: F.col(f"u.{quoted(validity.start)}")}, "d")
-    versions = F.when(hit, F.array(closed, version(opened, "u"))).otherwise(F.array(kept))
+    kept = version("d", {})
+    closed = version("d", {validity.current: F.lit(False), validity.end: F.col(f"u.{quoted(validity.start)}")})
+    versions = F.when(hit, F.array(closed, version("u", opened))).otherwise(F.array(kept))
     carried = joined.select(F.inline(versions))
 
     small = size.within(broadcast_bytes)
     first = join_members(updates, dimension, [(key, key)], "left_anti", small).alias("u")
-    return carried.unionByName(first.select(version(opened, "u").alias("v")).select("v.*"))
+    return carried.unionByName(first.select(version("u", opened).alias("v")).select("v.*"))

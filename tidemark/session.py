@@ -16,7 +16,7 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session may go without one; it then gets a fresh temporary folder. A cluster
     without the setting is an error, since executors could not read each other's files.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.files import table
+
 
 def rate(spark: SparkSession, rows_per_second: int = 5, partitions: int = 1) -> DataFrame:
     """Generated ``(timestamp, value)`` rows at a fixed rate."""
@@ -19,8 +21,7 @@ def parquet_table(
     spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """One of the provided tables as a stream of its files, whether it is one file or a folder."""
-    path = f"{sf_dir}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{path}*")
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")  # a pattern may also match a single file
