@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .joins import join_members
 from .names import KeySpec, as_expr, find, key_pairs, must_find, quoted
-from .sizing import BROADCAST_BYTES, all_present, measure_change_set
+from .sizing import BROADCAST_BYTES, all_present, is_small, measure_change_set
 
 ACTION = "_action"
 _MATCH = "_matched_source"
@@ -103,13 +103,8 @@ def merge_metrics(merged: DataFrame) -> DataFrame:
 
 def reject_shared_matches(target: DataFrame, keyed: DataFrame, pairs: list[tuple[str, str]]) -> None:
     """Raise if a key that the change set repeats occurs in the target."""
-    repeated = keyed.groupBy(*(quoted(b) for _, b in pairs)).count().where("count > 1").alias("s")
-    hit = (
-        target.select(*(quoted(a) for a, _ in pairs))
-        .alias("t")
-        .join(repeated, _equal(pairs, "t", "s"), "left_semi")
-        .first()
-    )
+    repeated = keyed.groupBy(*(quoted(b) for _, b in pairs)).count().where("count > 1").drop("count")
+    hit = join_members(repeated, target, [(b, a) for a, b in pairs], "left_semi", is_small(repeated)).first()
     if hit is not None:
         raise AmbiguousMergeError(f"several change rows match the target row with key {hit.asDict()}")
 

@@ -116,6 +116,16 @@ def filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CHECKED_SQL = "SELECT * FROM {table} WHERE c_mktsegment = 'BUILDING' OR c_nationkey = 6"
+
+
+@query("sql_filter_or", _CHECKED_SQL.format(table="customer"))
+def sql_filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same kind of filter as SQL text over a temporary view."""
+    table(spark, sf_dir, "customer").createOrReplaceTempView("checked_customers")
+    return spark.sql(_CHECKED_SQL.format(table="checked_customers"))
+
+
 @query(
     "filter_and_or",
     """SELECT o_orderkey FROM orders

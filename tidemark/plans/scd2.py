@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from ..operators import scd2
 from ..operators.joins import anti_join
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
 from ..operators.numbering import with_row_number
-from ..session import materialize
+from ..operators.writes import insert_overwrite
+from ..session import materialize, new_path
 from .inputs import (
     DIMENSION_SQL,
     MODIFICATIONS_SQL,
@@ -162,7 +165,10 @@ def scd2_close_and_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merged_by_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target, fresh = surrogate_dimension(spark, sf_dir), incoming(spark, sf_dir)
+    return _merge_by_surrogate(surrogate_dimension(spark, sf_dir), incoming(spark, sf_dir))
+
+
+def _merge_by_surrogate(target: DataFrame, fresh: DataFrame) -> DataFrame:
     new_versions = fresh.select(
         F.lit(None).cast("long").alias("id"),
         *fresh.columns,
@@ -193,19 +199,37 @@ def scd2_by_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(_merged_by_surrogate(spark, sf_dir))
 
 
-@query(
-    "renumber_ids",
-    f"""WITH {SURROGATE_SQL}
+_RENUMBERED_SQL = f"""WITH {SURROGATE_SQL}
 SELECT ROW_NUMBER() OVER (ORDER BY id NULLS LAST, c_custkey, start_date) - 1 AS id,
        c_custkey, c_name, c_mktsegment, CAST(start_date AS VARCHAR) AS start_date,
        CAST(end_date AS VARCHAR) AS end_date
-FROM merged""",
-)
+FROM merged"""
+
+
+def _renumbered(merged: DataFrame) -> DataFrame:
+    """Dense ids from 0: known ids first, new rows after them by business key."""
+    numbered = with_row_number(merged, ["id", _KEY, "start_date"], "new_id")
+    return numbered.withColumn("id", F.col("new_id")).drop("new_id")
+
+
+@query("renumber_ids", _RENUMBERED_SQL)
 def renumber_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense ids from 0 over the merged dimension: known ids first, new rows after them."""
+    """The merged dimension, written once and numbered anew."""
     merged = materialize(_merged_by_surrogate(spark, sf_dir), "merged")
-    numbered = with_row_number(merged, ["id", _KEY, "start_date"], "new_id")
-    return dates_as_text(numbered.drop("id").withColumnRenamed("new_id", "id"))
+    return dates_as_text(_renumbered(merged))
+
+
+@query("scd2_catalog_table", _RENUMBERED_SQL)
+def scd2_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on a catalog table: merged by name, then renumbered, both times overwriting the
+    table that was read."""
+    database = f"scd_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_path(spark, database)}'")
+    name = f"{database}.scd_type2"
+    surrogate_dimension(spark, sf_dir).write.saveAsTable(name)
+    insert_overwrite(_merge_by_surrogate(spark.table(name), incoming(spark, sf_dir)), name)
+    insert_overwrite(_renumbered(spark.table(name)), name)
+    return dates_as_text(spark.table(name))
 
 
 @query(
