@@ -37,9 +37,9 @@ def ads(df):
     return sorted(tuple(r) for r in df.select("ad", "click_ad").collect())
 
 
-def sides(spark, tmp_path, impressions, clicks, watermarks=True):
-    left = stream_of(spark, tmp_path / "i", impressions, IMPRESSIONS)
-    right = stream_of(spark, tmp_path / "c", clicks, CLICKS)
+def sides(spark, tmp_path, shown, clicked, watermarks=True):
+    left = stream_of(spark, tmp_path / "i", shown, IMPRESSIONS)
+    right = stream_of(spark, tmp_path / "c", clicked, CLICKS)
     delays = ("10 seconds", "20 seconds") if watermarks else (None, None)
     return event_time(left, "shown", delays[0]), event_time(right, "clicked", delays[1])
 
@@ -65,6 +65,24 @@ def test_left_outer_emits_unmatched_after_the_watermark(spark, tmp_path):
     assert ads(result) == [(1, 1), (2, None), (3, None), (4, 4)]
 
 
+def test_spread_join_gives_the_same_rows_and_frees_its_state(spark, tmp_path):
+    """Every advertisement is the same: one key, whose state is divided by time."""
+    shown = [[(1, 0), (1, 0.25)], [(1, 10), (1, 10.5)], [(1, 600)], [(1, 601)]]
+    clicked = [[(1, 0.5), (1, 1.1)], [(1, 11.25)], [(1, 600.5)], [(1, 601)]]
+    results = []
+    for spread in (False, True):
+        left, right = sides(spark, tmp_path / str(spread), shown, clicked)
+        joined = join_in_range(left, right, "ad", "click_ad", "shown", "clicked", MINUTE, spread=spread)
+        results.append(rows(run_available(joined, f"spread-{spread}").select("shown", "clicked")))
+        query = joined.writeStream.format("noop").trigger(availableNow=True)
+        query = query.option("checkpointLocation", str(tmp_path / f"state-{spread}")).start()
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= (6 if spread else 4)
+    assert results[0] == results[1] and len(results[0]) == 7
+    with pytest.raises(ValueError):
+        join_in_range(left, right, "ad", "click_ad", "shown", "clicked", MINUTE, "leftOuter", spread=True)
+
+
 def test_outer_join_needs_watermarks(spark, tmp_path):
     left, right = sides(spark, tmp_path, [[(1, 0)]], [[(1, 0)]], watermarks=False)
     with pytest.raises(AnalysisException):

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import within_interval
+from ..operators.joins import interval_join, within_interval
 
 
 def event_time(df: DataFrame, column: str, delay: str | None = None) -> DataFrame:
@@ -31,13 +31,24 @@ def join_in_range(
     click_time: str,
     length: timedelta,
     how: str = "inner",
+    spread: bool = False,
 ) -> DataFrame:
     """Clicks within ``length`` after their impression.
 
     With watermarks on both sides the range lets Spark drop state that can match no more. With
     ``how="leftOuter"`` an impression without click leaves with nulls once its range has passed;
     Spark refuses that form without the watermarks.
+
+    ``spread`` divides the state of a hot key over tasks by time slots (see
+    :func:`tidemark.operators.joins.interval_join`), for an inner join only, since an impression is
+    then held twice and must not be reported unmatched by one of its copies.
     """
+    if spread:
+        if how != "inner":
+            raise ValueError("only an inner join can spread its keys")
+        return interval_join(
+            impressions, clicks, impression_key, click_key, impression_time, click_time, length
+        )
     same_ad = F.col(impression_key) == F.col(click_key)
     in_time = within_interval(F.col(impression_time), F.col(click_time), length)
     return impressions.join(clicks, same_ad & in_time, how)
