@@ -1,5 +1,9 @@
+import subprocess
+import sys
+
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -26,6 +30,14 @@ def test_salary_classes(spark):
         assert dict(tuple(r) for r in people.select("name", rule(F.col("salary"))).collect()) == expected
 
 
+@pytest.mark.parametrize("name", ["square_udf", "cube_udf", "categorize_udf", "concatenate_udf"])
+def test_udf_code_travels_without_the_package(name, tmp_path):
+    """Workers get the function itself; the package need not be installed there."""
+    code = "import pickle, sys; pickle.load(sys.stdin.buffer); assert 'tidemark' not in sys.modules"
+    pickled = cloudpickle.dumps(getattr(udfs, name).func)
+    subprocess.run([sys.executable, "-c", code], input=pickled, cwd=tmp_path, check=True)
+
+
 def test_full_name(spark):
     df = spark.createDataFrame([("Ada", "Lovelace"), ("Ada", None), (None, "Lovelace"), ("", "x")], "a string, b string")
     for rule in (scalars.full_name, udfs.concatenate_udf):

@@ -1,7 +1,8 @@
 """The same rules as vectorised UDFs, for users who extend them in Python.
 
 The native forms in :mod:`tidemark.functions.scalars` stay inside generated code and are the
-default; these move whole Arrow batches to the worker.
+default; these move whole Arrow batches to the worker. Their code travels with the query: a worker
+need not have this package.
 """
 
 from __future__ import annotations
@@ -14,19 +15,17 @@ from pyspark.sql import types as T
 from .scalars import CUBE_FITS, LARGE, LARGE_ABOVE, LOW, MEDIUM, MEDIUM_ABOVE, SQUARE_FITS
 
 
-def _power(numbers: pd.Series, exponent: int, fits: tuple[int, int]) -> pd.Series:
-    values = numbers.astype("Int64")
-    return values.where(values.between(*fits)) ** exponent
+def _power_udf(exponent: int, fits: tuple[int, int]):
+    @F.pandas_udf(T.LongType())
+    def power(numbers: pd.Series) -> pd.Series:
+        values = numbers.astype("Int64")
+        return values.where(values.between(*fits)) ** exponent
 
+    return power
 
-@F.pandas_udf(T.LongType())
-def square_udf(numbers: pd.Series) -> pd.Series:
-    return _power(numbers, 2, SQUARE_FITS)
 
-
-@F.pandas_udf(T.LongType())
-def cube_udf(numbers: pd.Series) -> pd.Series:
-    return _power(numbers, 3, CUBE_FITS)
+square_udf = _power_udf(2, SQUARE_FITS)
+cube_udf = _power_udf(3, CUBE_FITS)
 
 
 @F.pandas_udf(T.StringType())
