@@ -48,6 +48,13 @@ def test_other_types_and_start(spark):
     assert rows(numbered) == rows(plain(df, order, "nr", 1))
 
 
+def test_moments_around_the_end_of_daylight_saving_time(spark, conf):
+    conf(spark__sql__session__timeZone="America/New_York")
+    df = spark.range(0, 3000, 1, 4).selectExpr("timestamp_seconds(1730600000 + id * 7) AS moment", "id")
+    numbered = with_row_number(df, ["moment"], "nr", rows_per_range=50)
+    assert all(r["id"] == r["nr"] for r in numbered.select("id", "nr").collect())
+
+
 def test_numbers_do_not_depend_on_partitions(spark):
     df = spark.range(0, 5000).selectExpr("hash(id) AS a", "id AS b")
     one = with_row_number(df.repartition(3), ["a", "b"], "nr", rows_per_range=300)

@@ -75,8 +75,9 @@ def stage_closings(
     changes: DataFrame, dimension: DataFrame, key: str, end: str, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Change rows that carry an end date and whose key the dimension knows, once each."""
-    ended = changes.where(F.col(end).isNotNull()).distinct()
-    return semi_join(ended, dimension, [key], broadcast_bytes).withColumn(MERGE_KEY, F.col(key))
+    ended = changes.where(F.col(end).isNotNull())
+    known = semi_join(ended, dimension, key, broadcast_bytes).distinct()
+    return known.withColumn(MERGE_KEY, F.col(key))
 
 
 def stage_openings(changes: DataFrame, key: str, current: str) -> DataFrame:
