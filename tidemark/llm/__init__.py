@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, with their queries and the SQL of those that have one."""
 
-from . import op5
+from . import op5, op6, op9
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "op5"]
+__all__ = ["QUERIES", "SQL", "op5", "op6", "op9"]
