@@ -171,12 +171,17 @@ def _medians(narrow: DataFrame, searches: list[_Search], tolerance: float, whole
 
 def place(df: DataFrame, levels: Sequence[Sequence[Cut]]) -> DataFrame:
     """``df`` (with the columns of :func:`place_columns`) with its ``node`` after the given levels."""
-    df = df.withColumn("node", F.lit(0).cast("long"))
+    df = df.withColumn("node", _root())
     for cuts in levels:
         df = _descend(df, cuts)
     return df
 
 
+def _root() -> Column:
+    """0, taken from bits that a hash does not have: joined on a constant, rows would meet in a loop."""
+    return F.shiftright("tie", 56)
+
+
 def _descend(df: DataFrame, cuts: Sequence[Cut]) -> DataFrame:
     if not cuts:
         return df
@@ -203,7 +208,7 @@ def grow(narrow: DataFrame, shards: int) -> list[list[Cut]]:
     to ten histograms; the narrow table is written with the new nodes for the next level.
     """
     nodes, levels, spans = {0: shards}, [], None
-    narrow = narrow.withColumn("node", F.lit(0).cast("long"))
+    narrow = narrow.withColumn("node", _root())
     n_axes = narrow.select(F.size("axes")).limit(1).collect()
     if not n_axes:
         return []
