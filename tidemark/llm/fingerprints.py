@@ -104,15 +104,14 @@ def likeness(one: Column, other: Column) -> Column:
     return F.size(same) / F.size(one)
 
 
-def _range_of(key: Column, bounds: Sequence[int]) -> Column:
-    """How many bounds are at most ``key``, by binary search in a constant array."""
-    if not bounds:
-        return F.lit(0)
-    table, found = F.array(*(F.lit(b) for b in bounds)), F.lit(0)
+def _with_range(df: DataFrame, bounds: Sequence[int]) -> DataFrame:
+    """Add ``range``: how many bounds are at most ``key``, by binary search in a constant array."""
+    table = F.array(*(F.lit(b) for b in bounds)) if bounds else F.array().cast("array<long>")
+    df = df.withColumn("bounds", table).withColumn("range", F.lit(0))
     for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
-        reached = (found + step <= len(bounds)) & (F.get(table, F.least(found + step, F.lit(len(bounds))) - 1) <= key)
-        found = found + F.when(reached, step).otherwise(0)
-    return found
+        reached = F.get("bounds", F.col("range") + (step - 1)) <= F.col("key")
+        df = df.withColumn("range", F.col("range") + F.when(reached, step).otherwise(0))
+    return df.drop("bounds")
 
 
 def neighbours(docs: DataFrame, ident: str, text: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -127,11 +126,10 @@ def neighbours(docs: DataFrame, ident: str, text: str, rows_per_range: int = ROW
     points = [i / ranges for i in range(1, ranges)]
     bounds = ids.agg(F.percentile_approx("key", points, 10 * max(ranges, 1000))).first()[0] if points and rows else []
     bounds = sorted(set(bounds or []))
-    keyed = docs.select(
-        F.col(ident).alias("id"), key.alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).withColumn("range", _range_of(F.col("key"), bounds))
+    keyed = docs.select(F.col(ident).alias("id"), key.alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    keyed = _with_range(keyed, bounds)
 
-    firsts = ids.groupBy(_range_of(F.col("key"), bounds).alias("range")).agg(F.max("key")).collect()  # at most MOST_RANGES
+    firsts = _with_range(ids, bounds).groupBy("range").agg(F.max("key")).collect()  # at most MOST_RANGES
     firsts = sorted((tuple(r) for r in firsts), reverse=True)
     hosts = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}  # the last range hosts the first row
     if hosts:
