@@ -57,6 +57,10 @@ class Words:
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
         self.raw = data
         self.data = _FOLD[data]
+        # Latin capitals with accents: second bytes 80 to 9E after C3, but for the multiplication sign.
+        accented = np.flatnonzero(data[:-1] == 0xC3) + 1
+        second = data[accented]
+        self.data[accented[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] += 32
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, self.doc_start)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
