@@ -45,7 +45,8 @@ class Words:
     and ``first``, where the words of each text begin (with the total at the end).
 
     Words are runs of word bytes (``by_space=False``: letters, digits and bytes beyond ASCII) or of
-    anything but ASCII white space. The hash is that of the folded bytes.
+    anything but ASCII white space. The hash is that of the folded bytes: A-Z in lower case, and in the
+    first case accented Latin capitals too.
     """
 
     def __init__(self, texts: list[bytes], by_space: bool = False) -> None:
@@ -57,10 +58,11 @@ class Words:
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
         self.raw = data
         self.data = _FOLD[data]
-        # Latin capitals with accents: second bytes 80 to 9E after C3, but for the multiplication sign.
-        accented = np.flatnonzero(data[:-1] == 0xC3) + 1
-        second = data[accented]
-        self.data[accented[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] += 32
+        if not by_space:
+            # Latin capitals with accents: second bytes 80 to 9E after C3, but for the multiplication sign.
+            accented = np.flatnonzero(data[:-1] == 0xC3) + 1
+            second = data[accented]
+            self.data[accented[(second >= 0x80) & (second <= 0x9E) & (second != 0x97)]] += 32
         self.start, self.end = edge[0::2], edge[1::2]
         self.first = np.searchsorted(self.start, self.doc_start)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 32
+SAMPLES = 64
 ROWS_PER_RANGE = 1000
 MOST_RANGES = 2**14
 
@@ -63,12 +63,14 @@ def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> Dat
     ``counts`` has a row per key and ``term`` with its count ``n``. A null term is never drawn; a key
     that has no other gets nulls.
     """
+    # Not constant to the optimiser, which would copy the tables into each draw.
+    table = lambda values: F.when(F.col("n").isNotNull(), F.array(*map(F.lit, values)))
     tables = counts.select(
         *keys,
         "term",
         F.log("n").alias("log_n"),
-        F.array(*(F.lit(_gamma_quantile(1 - p)) for p in _CELLS)).alias("steps"),
-        F.array(*(F.lit(math.log(_gamma_quantile(p))) for p in _CELLS)).alias("heights"),
+        table([_gamma_quantile(1 - p) for p in _CELLS]).alias("steps"),
+        table([math.log(_gamma_quantile(p)) for p in _CELLS]).alias("heights"),
     )
 
     def least(k: int) -> Column:
@@ -143,7 +145,7 @@ def neighbours(docs: DataFrame, ident: str, text: str, rows_per_range: int = ROW
         )
     else:
         keyed = keyed.withColumn("guest", F.lit(0))
-    in_order = Window.partitionBy("range").orderBy("guest", F.col("key").desc(), F.xxhash64("text"), "text")
+    in_order = Window.partitionBy("range").orderBy("guest", F.col("key").desc(), F.xxhash64("text"), "text", "id")
     return keyed.select(
         "range",
         F.row_number().over(in_order).alias("place"),

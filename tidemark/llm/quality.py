@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import batches
 from .labelled import training_sample
@@ -219,7 +220,7 @@ def stated_length(length: str):
 def score(docs: DataFrame, machine: Machine, *, keep: list[str], text: str = "text", length: str = "n_chars") -> DataFrame:
     """The columns ``keep`` of ``docs`` and ``score``."""
     chosen = docs.select(*keep, F.col(text).alias("text_scored"), stated_length(length).alias("length_scored"))
-    schema = docs.select(*keep).schema.add("score", "double")
+    schema = docs.select(*keep).schema.add("score", T.DoubleType())
 
     def run(parts):
         for batch in parts:
