@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import sys
+from collections.abc import Callable, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import batches
+from .text import fold, private
 
-from .text import fold
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(batches)
 
 #: Documents whose fold is 0 are held out of all training.
 FOLDS = 5
@@ -24,3 +35,32 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, i
     parts = [known.filter(F.col("label") == v).orderBy(F.xxhash64("labelled"), "labelled").limit(most) for v in (0, 1)]
     sample = parts[0].unionByName(parts[1])
     return docs.join(F.broadcast(sample), F.col(ident) == F.col("labelled")).drop("labelled")
+
+
+def with_scores(
+    docs: DataFrame,
+    scorer: Callable[..., np.ndarray],
+    *,
+    keep: Sequence[str],
+    text: str,
+    also: Sequence[Column] = (),
+    name: str = "score",
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` and, as ``name``, what ``scorer`` makes of each part of the texts
+    and of the numeric columns ``also``. The text is sent once, whether or not it is kept."""
+    kept = [c for c in keep if c != name]
+    read = text if text in kept else private(docs, "text_scored")
+    given = [F.col(f"`{c}`") for c in kept] + ([] if read == text else [F.col(text).alias(read)])
+    beside = [private(docs, f"scored_{i}") for i in range(len(also))]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(name, T.DoubleType())])
+
+    def run(parts):
+        for batch in parts:
+            found = [np.zeros(0)]
+            for part in batches.slices(batch, read):
+                numbers = [part.column(c).to_numpy(zero_copy_only=False) for c in beside]
+                found.append(np.asarray(scorer(batches.column_bytes(part.column(read)), *numbers), dtype=float))
+            columns = [batch.column(c) for c in kept] + [pa.array(np.concatenate(found))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, name])
+
+    return docs.select(*given, *(c.alias(n) for c, n in zip(also, beside))).mapInArrow(run, schema)

@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import batches
-from .labelled import training_sample
+from .labelled import training_sample, with_scores
+from .text import private
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(batches)
@@ -217,18 +217,13 @@ def stated_length(length: str):
     return F.coalesce(F.log1p(F.greatest(F.col(length), F.lit(0)).cast("double")), F.lit(-1.0))
 
 
-def score(docs: DataFrame, machine: Machine, *, keep: list[str], text: str = "text", length: str = "n_chars") -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``score``."""
-    chosen = docs.select(*keep, F.col(text).alias("text_scored"), stated_length(length).alias("length_scored"))
-    schema = docs.select(*keep).schema.add("score", T.DoubleType())
+def score(docs: DataFrame, machine: Machine, *, keep: list[str], text: str = "text", length: str = "n_chars", name: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the probability of label 1."""
+    return with_scores(docs, machine.scores, keep=keep, text=text, also=[stated_length(length)], name=name)
 
-    def run(parts):
-        for batch in parts:
-            found = [np.zeros(0)]
-            for part in batches.slices(batch, "text_scored"):
-                texts = batches.column_bytes(part.column("text_scored"))
-                found.append(machine.scores(texts, part.column("length_scored").to_numpy(zero_copy_only=False)))
-            columns = [batch.column(c) for c in keep] + [pa.array(np.concatenate(found))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
-
-    return chosen.mapInArrow(run, schema)
+
+def kept(docs: DataFrame, machine: Machine, threshold: float, *, text: str = "text", length: str = "n_chars") -> DataFrame:
+    """The rows of ``docs`` that score ``threshold`` or more."""
+    name = private(docs, "quality_score")
+    scored = score(docs, machine, keep=docs.columns, text=text, length=length, name=name)
+    return scored.filter(F.col(name) >= threshold).drop(name)

@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import batches
-from .labelled import training_sample
+from .labelled import FOLDS, training_sample, with_scores
+from .text import fold
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(batches)
@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(batches)
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 13, 13
 DIM, HIDDEN = 12, 8
-MOST_LABELLED = 800
+MOST_LABELLED = 1200
 WINDOWS = 48
 ROUNDS = 4
 BATCH = 128
@@ -241,8 +241,9 @@ class _Adam:
             self.p[k] -= self.rate * correct * self.m[k] / (np.sqrt(self.v[k]) + 1e-7)
 
 
-def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
-    """Train on documents, each given as its windows' texts."""
+def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = None) -> Network:
+    """Train on documents, each given as its windows' texts. ``share``: that of label 1 where the documents
+    come from, if they are not a fair sample."""
     if len(set(labels.tolist())) < 2:
         return Network(share=float(labels.mean()) if len(labels) else 0.5)
     words = batches.Words([w for windows in texts for w in windows])
@@ -295,20 +296,21 @@ def train(texts: list[list[bytes]], labels: np.ndarray) -> Network:
                 g["char"] = _sums(grams, np.repeat(each, size, axis=0), 1 << CHAR_BITS)
                 adam.step(g)
     logits = network.window_logits(network.embed(word, first, bucket), number, start, end)
-    network.scale, network.shift = _calibrated(np.maximum.reduceat(logits, doc_first).astype(float), labels.astype(float))
+    network.scale, network.shift = _calibrated(
+        np.maximum.reduceat(logits, doc_first).astype(float), labels.astype(float), labels.mean() if share is None else share
+    )
     return network
 
 
-def _calibrated(worst: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the labels on the worst windows, kept from growing without bound; the
-    sample has as many documents of each label as it can, so the score is a balanced one."""
+def _calibrated(worst: np.ndarray, labels: np.ndarray, share: float) -> tuple[float, float]:
+    """Logistic regression of the labels on the worst windows, kept from growing without bound; documents are
+    weighted so that label 1 has its ``share``."""
     center, spread = worst.mean(), worst.std() + 1e-6
     x, a, b = (worst - center) / spread, 1.0, 0.0
-    share = labels.mean()
-    weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / len(labels)
-    for _ in range(500):
+    weight = np.where(labels == 1, share / labels.sum(), (1 - share) / (1 - labels).sum())
+    for _ in range(3000):
         error = (_sigmoid(np.clip(a * x + b, -30, 30)) - labels) * weight
-        a, b = a - 2.0 * ((error * x).sum() + 0.01 * a), b - 2.0 * error.sum()
+        a, b = a - 2.0 * ((error * x).sum() + 0.002 * a), b - 2.0 * error.sum()
     return a / spread, b - a * center / spread
 
 
@@ -336,20 +338,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ident: str
     sample = training_sample(named, labels, label, most, ident).select("key", "label", text)
     found = sample.mapInArrow(run, "key long, label int, windows array<binary>").collect()
     found.sort(key=lambda r: r["key"])
-    return train([[bytes(w) for w in r["windows"]] for r in found], np.array([r["label"] for r in found]))
-
-
-def score(docs: DataFrame, network: Network, *, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``score``."""
-    chosen = docs.select(*keep, F.col(text).alias("text_scored"))
-    schema = docs.select(*keep).schema.add("score", T.DoubleType())
-
-    def run(parts):
-        for batch in parts:
-            found = [np.zeros(0)]
-            for part in batches.slices(batch, "text_scored"):
-                found.append(network.scores(batches.column_bytes(part.column("text_scored"))))
-            columns = [batch.column(c) for c in keep] + [pa.array(np.concatenate(found))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
-
-    return chosen.mapInArrow(run, schema)
+    known = labels.filter(fold(F.col(ident), FOLDS) != 0).agg(
+        F.count_if(F.col(label) == 1), F.count_if(F.col(label).isin(0, 1))
+    )
+    positive, every = known.first()
+    return train(
+        [[bytes(w) for w in r["windows"]] for r in found], np.array([r["label"] for r in found]), positive / max(1, every)
+    )
+
+
+def score(docs: DataFrame, network: Network, *, keep: list[str], text: str = "text", name: str = "score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and the probability that a text is toxic."""
+    return with_scores(docs, network.scores, keep=keep, text=text, name=name)
