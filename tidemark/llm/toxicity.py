@@ -38,9 +38,10 @@ cloudpickle.register_pickle_by_value(batches)
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 13, 13
 DIM, HIDDEN = 12, 8
-MOST_LABELLED = 1200
-WINDOWS = 48
-ROUNDS = 4
+MOST_LABELLED = 1600
+WINDOWS = 40
+ROUNDS = 6
+MOST_POSITIVE = 16_000  # windows in a round
 BATCH = 128
 SEED = 5
 _CHUNK = 1024  # windows that are scored at once
@@ -264,7 +265,9 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
             bar = np.quantile(logits[~toxic], 0.999)
             chosen = ~toxic | (logits >= np.maximum(bar, worst[doc] - 2.0)) | (logits == worst[doc])
         positive, negative = np.flatnonzero(chosen & toxic), np.flatnonzero(~toxic)
-        many = min(len(negative), max(3 * len(positive), 4000))
+        if len(positive) > MOST_POSITIVE:  # in the first round, before the windows are told apart
+            positive = rng.choice(positive, MOST_POSITIVE, replace=False)
+        many = min(len(negative), max(3 * len(positive) if round_ else len(positive), 4000))
         for _ in range(1 if round_ == 0 else 2):
             few = negative
             if many < len(negative):  # half of them those that look worst
@@ -288,7 +291,7 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
                 dropped = rng.random(len(used)) < 0.3  # the characters must do without the word
                 inputs[dropped, :DIM] = 0
                 label = labels[doc[part]].astype(np.float32)
-                weight = np.where(label == 1, min(balance, 4.0), 1.0).astype(np.float32) / len(part)
+                weight = np.where(label == 1, min(balance, 2.0), 1.0).astype(np.float32) / len(part)
                 _, g, d_inputs = network.gradients(inputs, local, inside.astype(np.float32), label, weight)
                 d_inputs[dropped, :DIM] = 0
                 g["word"] = _sums(word[used], d_inputs[:, :DIM], 1 << WORD_BITS)
