@@ -17,6 +17,27 @@ def test_membership(spark, limit):
     assert rows(anti_join(left, right, "k", limit)) == [(2, "c"), (None, "d")]
 
 
+KEY_TYPES = [
+    ("int", "long", "1", "2", "9"),
+    ("decimal(10,2)", "decimal(12,4)", "1.50", "2.25", "9"),
+    ("date", "timestamp", "'2024-01-01'", "'2024-01-02'", "'2024-01-09'"),
+    ("int", "double", "1", "2", "9"),
+    ("string", "string", "'a'", "'b'", "'z'"),
+    ("double", "double", "0.0D", "2.0D", "9"),
+]
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+@pytest.mark.parametrize("one, other, a, b, z", KEY_TYPES)
+def test_membership_across_types(spark, limit, one, other, a, b, z):
+    zero = "-0.0D" if a == "0.0D" else a  # both zeros are one key
+    left = spark.sql(f"SELECT CAST(x AS {one}) AS k, n FROM VALUES ({a}, 1), ({b}, 2) AS v(x, n)")
+    right = spark.sql(f"SELECT CAST(x AS {other}) AS k FROM VALUES ({zero}), ({z}) AS v(x)")
+    assert [r["n"] for r in semi_join(left, right, "k", limit).collect()] == [1]
+    assert [r["n"] for r in anti_join(left, right, "k", limit).collect()] == [2]
+    assert semi_join(right, left, "k", limit).count() == anti_join(right, left, "k", limit).count() == 1
+
+
 def test_hot_key_of_the_rows_is_split(spark, tmp_path, conf):
     conf(
         spark__sql__autoBroadcastJoinThreshold="-1",
@@ -56,6 +77,28 @@ def test_interval_join_against_brute_force(spark, conf, kind, zone):
         assert rows(got) == rows(plain) and not plain.isEmpty()
 
 
+@pytest.mark.parametrize("day", ["2024-03-10", "2024-11-03"])
+@pytest.mark.parametrize("minutes", [7, 11, 45])
+def test_interval_join_without_zone_across_both_clock_changes(spark, conf, day, minutes):
+    """A grid of minutes around the hour that is skipped or repeated where the session is."""
+    conf(spark__sql__session__timeZone="America/New_York")
+    moments = spark.range(0, 240).selectExpr(
+        "1 AS k", f"TIMESTAMP_NTZ '{day} 00:00:00' + make_dt_interval(0, 0, id) AS at"
+    )
+    left, right = moments.toDF("k", "shown"), moments.toDF("key", "clicked")
+    got = interval_join(left, right, "k", "key", "shown", "clicked", timedelta(minutes=minutes))
+    assert got.count() == sum(min(minutes, 239 - i) + 1 for i in range(240))
+
+
+def test_left_interval_join(spark):
+    left = spark.range(0, 40).selectExpr("1 AS k", "TIMESTAMP '2024-01-01' + make_dt_interval(0, 0, 5 * id) AS shown")
+    right = spark.range(0, 9).selectExpr("1 AS key", "TIMESTAMP '2024-01-01 00:02:00' + make_dt_interval(0, 0, 20 * id) AS clicked")
+    got = interval_join(left, right, "k", "key", "shown", "clicked", timedelta(minutes=7), "left")
+    end = F.col("shown") + F.expr("INTERVAL 7 MINUTE")
+    plain = left.join(right, F.expr("k = key AND clicked >= shown") & (F.col("clicked") <= end), "left")
+    assert rows(got) == rows(plain) and not plain.where("clicked IS NULL").isEmpty()
+
+
 def test_size_bound(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None)], "k int, v string")
     assert total_bytes(df) == 2 * 48 + 2

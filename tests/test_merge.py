@@ -104,12 +104,12 @@ def test_daily_reports(spark):
     old_columns = """Province_State string, Country_Region string, Last_Update string, Confirmed int,
         Deaths int, Recovered int, Latitude double, Longitude double, process_date string, level int"""
     old = spark.createDataFrame(
-        [("Washington", "US", "2020-03-21T22:43:04", 1793, 94, 0, 47.4, -121.5, "2020-03-21", 2)], old_columns
+        [("Washington", "US", "2020-03-21T10:00:00", 12, 3, 1, 1.5, 2.5, "2020-03-21", 2)], old_columns
     )
     new_columns = f"FIPS int, Admin2 string, {old_columns}, Active int, Combined_Key string"
 
     def report(fips, county, day, level):
-        return (fips, county, "Washington", "US", f"{day}T19:00:00", fips, 0, 0, 47.4, -121.5, day, level, None, "")
+        return (fips, county, "Washington", "US", f"{day}T19:00:00", fips, 0, 0, 1.5, 2.5, day, level, None, "")
 
     counties = [report(53001 + i, f"county {i}", "2020-04-11", 3) for i in range(39)]
     new = spark.createDataFrame(counties + [report(53, "", "2020-03-21", 2)], new_columns)
@@ -157,6 +157,14 @@ def test_against_brute_force(spark, seed):
         assert rows(merged) == sorted(expected, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_keys_of_two_types(spark, limit):
+    """Above and below the broadcast limit the same rows come out."""
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    source = spark.createDataFrame([(1, "A"), (2, "B"), (9, "Z")], KV)
+    assert rows(upsert(target, source, broadcast_bytes=limit)) == [(1, "A"), (2, "B"), (3, "c"), (9, "Z")]
+
+
 def test_small_change_set_does_not_shuffle_the_target(spark, tmp_path):
     spark.range(1000).selectExpr("id AS k", "cast(id AS string) AS v").write.parquet(f"{tmp_path}/t")
     target = spark.read.parquet(f"{tmp_path}/t")

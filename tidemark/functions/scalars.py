@@ -16,6 +16,9 @@ LOW = "Low"
 SQUARE_FITS = (-3037000499, 3037000499)
 CUBE_FITS = (-2097152, 2097151)
 
+# Fixed value: what a cleaned name does not hold.
+NOT_IN_A_NAME = "[^a-zA-Z0-9]"
+
 # Fixed value: text that a cast to an integer type accepts, with the blanks it trims.
 INTEGER_TEXT = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
 
@@ -63,13 +66,11 @@ def epoch_date(seconds: Column) -> Column:
 
 
 def parse_epoch(text: Column, date_format: str) -> Column:
-    """Seconds since 1970-01-01 00:00 of a text taken as UTC; null where it does not follow the
-    format."""
-    day_zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    moment = F.try_to_timestamp(text, F.lit(date_format)).cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", day_zero, moment)
+    """Seconds since 1970-01-01 00:00 of a text taken as UTC, whatever the session time zone; null
+    where it does not follow the format."""
+    return F.unix_seconds(F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit(f"{date_format} XXX")))
 
 
 def clean_name(text: Column) -> Column:
     """Everything but letters and digits becomes an underscore."""
-    return F.regexp_replace(text, "[^a-zA-Z0-9]", "_")
+    return F.regexp_replace(text, NOT_IN_A_NAME, "_")

@@ -59,9 +59,18 @@ def join_members(
     shuffle. The second condition of the join follows from the first. It makes Spark shuffle both
     sides for the join itself, which is what adaptive execution needs to split a hot key of
     ``rows``.
+
+    Keys of two types are compared as their common type, in both forms: equal values of two types
+    have different hashes.
     """
-    keys = [F.col(f"r.{quoted(a)}") for a, _ in pairs]
-    known = table.select(*(F.col(quoted(b)).alias(f"k{i}") for i, (_, b) in enumerate(pairs)))
+    kinds = [common_type(rows, a, table, b) for a, b in pairs]
+    keys = [_comparable(F.col(f"r.{quoted(a)}"), rows.schema[a].dataType, k) for (a, _), k in zip(pairs, kinds)]
+    known = table.select(
+        *(
+            _comparable(F.col(quoted(b)), table.schema[b].dataType, k).alias(f"k{i}")
+            for i, ((_, b), k) in enumerate(zip(pairs, kinds))
+        )
+    )
     known_keys = [F.col(f"k.k{i}") for i in range(len(pairs))]
     equal = reduce(and_, (a == b for a, b in zip(keys, known_keys)))
     if small:
@@ -73,6 +82,21 @@ def join_members(
     )
 
 
+def common_type(left: DataFrame, a: str, right: DataFrame, b: str) -> T.DataType:
+    """The type as which Spark compares column ``a`` of one relation with ``b`` of the other."""
+    kinds = [left.schema[a].dataType, right.schema[b].dataType]
+    if kinds[0] == kinds[1]:
+        return kinds[0]
+    nulls = [F.lit(None).cast(k).alias(n) for k, n in zip(kinds, "ab")]
+    return left.sparkSession.range(0).select(*nulls).select(F.coalesce("a", "b").alias("c")).schema["c"].dataType
+
+
+def _comparable(key: Column, own: T.DataType, common: T.DataType) -> Column:
+    """A key as the common type; of the two zeros of a floating type only one is left."""
+    typed = key if own == common else key.cast(common)
+    return typed + F.lit(0).cast(common) if isinstance(common, (T.FloatType, T.DoubleType)) else typed
+
+
 def within_interval(start: Column, instant: Column, length: timedelta) -> Column:
     """``instant`` lies in ``[start, start + length]``."""
     return (instant >= start) & (instant <= start + F.lit(length))
@@ -86,29 +110,40 @@ def interval_join(
     start: str,
     instant: str,
     length: timedelta,
+    how: str = "inner",
 ) -> DataFrame:
-    """Rows of equal key whose ``instant`` lies within ``length`` after ``start``.
+    """Rows of equal key whose ``instant`` lies within ``length`` after ``start``; with
+    ``how="left"`` also left rows without a partner.
 
     Time is cut into slots of that length and the slot is part of the join key, so that a key with
     very many rows is spread over tasks and is compared with its neighbours in time only. A left
-    row goes to each slot its interval touches (two, as a rule), a right row to its own: every
-    pair meets once.
+    row is in the slot of its start alone. A right row goes to each slot in which an interval that
+    holds it can start (two, as a rule). So every pair meets once, and a left row without a partner is
+    reported once.
     """
-    begin, end = F.col(quoted(start)), F.col(quoted(start)) + F.lit(length)
-    slots = F.sequence(_slot(left, start, begin, length), _slot(left, start, end, length))
-    touched = left.withColumn("_slot", F.explode(slots)).alias("l")
-    placed = right.withColumn("_slot", _slot(right, instant, F.col(quoted(instant)), length)).alias("r")
-    return touched.join(
-        placed,
+    at = F.col(quoted(instant))
+    slots = F.sequence(_slot(right, instant, at - F.lit(length), length), _slot(right, instant, at, length))
+    placed = left.withColumn("_slot", _slot(left, start, F.col(quoted(start)), length)).alias("l")
+    touched = right.withColumn("_slot", F.explode(slots)).alias("r")
+    return placed.join(
+        touched,
         (F.col(f"l.{quoted(left_key)}") == F.col(f"r.{quoted(right_key)}"))
         & (F.col("l._slot") == F.col("r._slot"))
         & within_interval(F.col(f"l.{quoted(start)}"), F.col(f"r.{quoted(instant)}"), length),
+        how,
     ).drop("_slot")
 
 
 def _slot(df: DataFrame, column: str, moment: Column, length: timedelta) -> Column:
     """Number of the slot, on the clock that the column's type keeps."""
     zone_free = isinstance(df.schema[column].dataType, T.TimestampNTZType)
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.timestamp_diff("MICROSECOND", epoch, moment) if zone_free else F.unix_micros(moment)
+    micros = clock_micros(moment) if zone_free else F.unix_micros(moment)
     return F.floor(micros / F.lit(length // timedelta(microseconds=1)))
+
+
+def clock_micros(moment: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp without zone, read off its parts: on the way
+    through the session's zone, hours that a clock skips or repeats would be lost."""
+    seconds = F.unix_date(moment.cast("date")).cast("long") * 86400 + F.hour(moment) * 3600 + F.minute(moment) * 60
+    fraction = (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("long")
+    return seconds * 1_000_000 + fraction
