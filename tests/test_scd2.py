@@ -16,32 +16,61 @@ FORMS = [scd2.merge_changes, scd2.apply_changes]
 
 @pytest.mark.parametrize("form", FORMS)
 def test_people(spark, form):
-    """A person moves, a new one appears; a person known only from the past stays as they are."""
+    """One moves, one is new, one stays, and one that was closed comes back."""
     people = spark.createDataFrame(
         [
-            (1, "elon musk", "pretoria", DAY(1971, 6, 28), None, True),
-            (2, "jeff bezos", "albuquerque", DAY(1964, 1, 12), None, True),
-            (3, "bill gates", "seattle", DAY(1955, 10, 28), DAY(1973, 9, 1), False),
+            (10, "Ravi", "north", DAY(2001, 3, 1), None, True),
+            (11, "Mona", "south", DAY(2002, 3, 1), None, True),
+            (12, "Ines", "east", DAY(2003, 3, 1), DAY(2004, 3, 1), False),
         ],
         DIMENSION,
     )
     changes = spark.createDataFrame(
         [
-            (1, "elon musk", "Calgary", DAY(1990, 6, 1)),
-            (6, "fhh", "chicago", DAY(2005, 11, 1)),
-            (3, "bill gates", "medina", DAY(2000, 1, 1)),
+            (10, "Ravi", "west", DAY(2010, 5, 5)),
+            (17, "Olek", "south", DAY(2011, 5, 5)),
+            (12, "Ines", "north", DAY(2012, 5, 5)),
         ],
         UPDATES,
     )
     assert rows(form(people, changes, "k", TRACKED)) == [
-        (1, "elon musk", "Calgary", DAY(1990, 6, 1), None, True),
-        (1, "elon musk", "pretoria", DAY(1971, 6, 28), DAY(1990, 6, 1), False),
-        (2, "jeff bezos", "albuquerque", DAY(1964, 1, 12), None, True),
-        (3, "bill gates", "seattle", DAY(1955, 10, 28), DAY(1973, 9, 1), False),
-        (6, "fhh", "chicago", DAY(2005, 11, 1), None, True),
+        (10, "Ravi", "north", DAY(2001, 3, 1), DAY(2010, 5, 5), False),
+        (10, "Ravi", "west", DAY(2010, 5, 5), None, True),
+        (11, "Mona", "south", DAY(2002, 3, 1), None, True),
+        (12, "Ines", "east", DAY(2003, 3, 1), DAY(2004, 3, 1), False),
+        (12, "Ines", "north", DAY(2012, 5, 5), None, True),
+        (17, "Olek", "south", DAY(2011, 5, 5), None, True),
     ]
 
 
+@pytest.mark.parametrize("form", FORMS)
+def test_stale_updates(spark, form):
+    """An update from before the version that it would close is refused, or skipped if asked for."""
+    target = spark.createDataFrame([(1, "a", "x", DAY(2020, 1, 1), None, True)], DIMENSION)
+    changes = spark.createDataFrame([(1, "b", "x", DAY(2019, 1, 1)), (2, "n", "x", DAY(2019, 1, 1))], UPDATES)
+    with pytest.raises(Exception, match="stale update of key 1"):
+        form(target, changes, "k", TRACKED).collect()
+    assert rows(form(target, changes, "k", TRACKED, stale="skip")) == [
+        (1, "a", "x", DAY(2020, 1, 1), None, True),
+        (2, "n", "x", DAY(2019, 1, 1), None, True),
+    ]
+    with pytest.raises(ValueError):
+        form(target, changes, "k", TRACKED, stale="perhaps")
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_keys_of_two_types(spark, form, limit):
+    target = spark.createDataFrame([(1, "a", "x", DAY(2020, 1, 1), None, True)], DIMENSION)
+    changes = spark.createDataFrame(
+        [(1, "b", "x", DAY(2021, 1, 1)), (9, "c", "x", DAY(2021, 1, 1))], UPDATES.replace("k int", "k long")
+    )
+    found = form(target, changes, "k", TRACKED, broadcast_bytes=limit)
+    assert sorted((r["k"], r["name"], r["is_current"]) for r in found.collect()) == [
+        (1, "a", False), (1, "b", True), (9, "c", True),
+    ]
+
+
 def history(seed):
     draw = random.Random(seed)
     dimension, updates = [], []
@@ -71,14 +100,17 @@ def test_both_forms_against_brute_force(spark, seed, limit):
             expected += [(k, name, region, start, u[3], False), (*u, None, True)]
         else:
             expected.append((k, name, region, start, end, current))
-    known = {d[0] for d in dimension}
-    expected += [(*u, None, True) for u in updates if u[0] not in known]
+    open_keys = {d[0] for d in dimension if d[5]}
+    expected += [(*u, None, True) for u in updates if u[0] not in open_keys]
     expected.sort(key=lambda r: tuple((v is None, str(v)) for v in r))
 
     target = spark.createDataFrame(dimension, DIMENSION)
     changes = spark.createDataFrame(updates, UPDATES)
     for form in FORMS:
-        assert rows(form(target, changes, "k", TRACKED, broadcast_bytes=limit)) == expected
+        found = form(target, changes, "k", TRACKED, broadcast_bytes=limit)
+        assert rows(found) == expected
+        assert found.where("is_current AND k IS NOT NULL").groupBy("k").count().where("count > 1").isEmpty()
+        assert found.where("end_date < effective_date").isEmpty()
 
 
 @pytest.mark.parametrize("form", FORMS)
@@ -91,10 +123,12 @@ def test_applying_twice(spark, form):
 
 
 @pytest.mark.parametrize("form", FORMS)
-def test_two_updates_for_a_known_key(spark, form):
+@pytest.mark.parametrize("key", [1, 2])
+def test_two_updates_for_one_key(spark, form, key):
+    """Whether the dimension knows it or not."""
     target = spark.createDataFrame([(1, "a", "x", DAY(1990, 1, 1), None, True)], DIMENSION)
     changes = spark.createDataFrame(
-        [(1, "b", "x", DAY(2000, 1, 1)), (1, "c", "x", DAY(2000, 1, 1))], UPDATES
+        [(key, "b", "x", DAY(2000, 1, 1)), (key, "c", "x", DAY(2000, 1, 1))], UPDATES
     )
     with pytest.raises(AmbiguousMergeError):
         form(target, changes, "k", TRACKED)

@@ -113,11 +113,11 @@ def test_union_evolving(spark):
         union_evolving(a, spark.createDataFrame([("x",)], "k string"))
 
 
-def test_insert_overwrite_from_itself(spark):
+def test_replace_a_table_from_itself(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS writes_test")
     spark.range(5).write.mode("overwrite").saveAsTable("writes_test.numbers")
     table = spark.table("writes_test.numbers")
-    writes.insert_overwrite(table.select((F.col("id") * 2).alias("id")), "writes_test.numbers")
+    writes.replace_table(table.select((F.col("id") * 2).alias("id")), "writes_test.numbers")
     assert rows(spark.table("writes_test.numbers")) == [(0,), (2,), (4,), (6,), (8,)]
     spark.sql("DROP DATABASE writes_test CASCADE")
 
@@ -143,7 +143,7 @@ def test_row_hash(spark):
 
     df = spark.createDataFrame([(1, "a", "b"), (2, "a", None), (3, None, "a")], "k int, x string, y string")
     hashes = {r["k"]: r["h"] for r in df.select("k", hash_of(["x", "y"]).alias("h")).collect()}
-    assert hashes[1] == hashlib.sha256(b"a||b").hexdigest()
+    assert hashes[1] == hashlib.sha256(b"1:a1:b").hexdigest()
     assert hashes[2] != hashes[3]
     hashed = with_tracking(with_row_hash(df, ["x", "y"]))
     assert dict(hashed.dtypes)["end_date"] == "date"
@@ -164,3 +164,27 @@ def test_working_data_is_under_the_shared_folder(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
     written = materialize(spark.range(3), "three")
     assert all(shared_root(spark) in path for path in written.inputFiles())
+
+
+def test_row_hashes_do_not_collide(spark):
+    """Values that run into one text, and null against a text, keep apart."""
+    pairs = [("a||b", "c"), ("a", "b||c"), (None, "x"), ("<null>", "x"), ("-", "x"), ("", None), (None, ""), ("1:", "2"), ("", "1:2")]
+    hashed = with_row_hash(spark.createDataFrame(pairs, "a string, b string"), ["a", "b"])
+    assert hashed.select("row_key").distinct().count() == len(pairs)
+
+
+def test_required_columns_of_a_table(spark, tmp_path):
+    path = str(tmp_path / "strict")
+    strict = T.StructType([T.StructField("k", T.LongType(), False), T.StructField("v", T.StringType())])
+    writes.create(spark.createDataFrame([(1, "a")], strict), path)
+    writes.append(spark.createDataFrame([(2, "b")], "k long, v string"), path)
+    for wrong in (writes.append, writes.append_evolving):
+        with pytest.raises(SchemaMismatch):
+            rows_ = [(None, "c")] if wrong is writes.append else [("c",)]
+            wrong(spark.createDataFrame(rows_, "k long, v string" if wrong is writes.append else "v string"), path)
+    assert rows(writes.read(spark, path)) == [(1, "a"), (2, "b")]
+
+
+def test_latest_rows_of_fixed_width_are_hashed(spark):
+    log = commit(spark.range(5).selectExpr("id AS k", "id * 2 AS v"), 0, AT[0], "insert")
+    assert "SortAggregate" not in plan(as_of(log, ["k"]))

@@ -13,34 +13,46 @@ from .names import quoted
 
 _RANGE = "_range"
 _READ = "_read"
+_TIE = "_tie"
 _SAMPLES_PER_RANGE = 8
-_MOST_RANGES = 2**14
+MOST_RANGES = 2**14
 
 
 def with_row_number(
-    df: DataFrame, order: Sequence[str], name: str, start: int = 0, rows_per_range: int = 50_000
+    df: DataFrame,
+    order: Sequence[str],
+    name: str,
+    start: int = 0,
+    rows_per_range: int = 50_000,
+    most_ranges: int = MOST_RANGES,
 ) -> DataFrame:
-    """Number all rows from ``start`` in ascending ``order``, nulls last.
+    """Number all rows from ``start`` in ascending ``order``, nulls last; rows that agree on it are
+    ordered by a hash of the whole row, so numbers depend on nothing but the rows.
 
     The rows are cut into ranges of the *whole* order key, so that many rows with the same first
     column (such as a null id) are cut further by the next ones. Three passes:
 
-    1. a sample of the order columns gives the range bounds: some rows per range, at most 2^17;
+    1. a sample of the order columns gives the range bounds: eight rows per range, and at most
+       ``most_ranges`` ranges, which bounds what the driver holds;
     2. the rows of each range are counted, which gives the number its first row gets;
     3. each range is sorted on its own and numbered from there.
 
     The bounds are plain values in the plan: a task that runs again puts its rows into the same
-    ranges. If rows that agree on all order columns would fill more than a range, the table is
-    first written with a number per row as it is read, which then breaks the ties. Numbers are
-    reproducible if no two rows agree on all order columns.
+    ranges. If copies of one row would fill more than a range, the table is first written with a
+    number per row as it is read, which parts them; which copy gets which number makes no difference.
     """
-    columns, order = df.columns, list(order)
-    bounds = _bounds(df, order, rows_per_range)
+    columns, order = df.columns, [*order, _TIE]
+    df = df.withColumn(_TIE, F.xxhash64(*(_hashable(f) for f in df.schema.fields)))
+    bounds = _bounds(df, order, rows_per_range, most_ranges)
     if any(low == high for low, high in zip(bounds, bounds[1:])):
         df = materialize(df.withColumn(_READ, F.monotonically_increasing_id()), "numbering")
         order.append(_READ)
-        bounds = _bounds(df, order, rows_per_range)
+        bounds = _bounds(df, order, rows_per_range, most_ranges)
     numbered = _with_range(df, order, bounds)
+    within = Window.partitionBy(_RANGE).orderBy(*_ascending(order))
+    if not bounds:  # one range, whose rows all have the number that the window gives them
+        numbered = numbered.withColumn(name, (F.row_number().over(within) + F.lit(start - 1)).cast("long"))
+        return numbered.select(*map(quoted, columns), name)
 
     running = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -48,7 +60,6 @@ def with_row_number(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select(_RANGE, F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"))
     )
-    within = Window.partitionBy(_RANGE).orderBy(*_ascending(order))
     position = F.row_number().over(within) + F.col("_before") + F.lit(start - 1)
     return (
         numbered.join(F.broadcast(offsets), _RANGE)
@@ -61,13 +72,19 @@ def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(quoted(c)).asc_nulls_last() for c in order]
 
 
-def _bounds(df: DataFrame, order: Sequence[str], rows_per_range: int) -> list:
+def _hashable(field: T.StructField) -> Column:
+    """A column as Spark can hash it: a map as its sorted entries."""
+    column = F.col(quoted(field.name))
+    return F.to_json(column) if isinstance(field.dataType, (T.MapType, T.VariantType)) else column
+
+
+def _bounds(df: DataFrame, order: Sequence[str], rows_per_range: int, most_ranges: int = MOST_RANGES) -> list:
     """Order keys that cut the rows into 2^k ranges of roughly equal size; none if one is enough."""
     keys = df.select(*map(quoted, order))
     rows = keys.count()
     if rows <= rows_per_range:
         return []
-    ranges = min(_MOST_RANGES, 1 << (rows // rows_per_range).bit_length())
+    ranges = min(most_ranges, 1 << (rows // rows_per_range).bit_length())
     fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / rows)
     sample = keys.sample(fraction, seed=7).orderBy(*_ascending(order)).collect()
     return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []

@@ -9,16 +9,12 @@ from pyspark.sql import functions as F
 
 from .names import quoted
 
-# The separator between hashed columns and the text that stands for null.
-HASH_SEPARATOR = "||"
-NULL_TEXT = "<null>"
-
-
 def hash_of(columns: Sequence[str]) -> Column:
-    """SHA-256 over the columns in the given order. Null has its own text, so that a row with a
-    null never hashes like one without that column."""
-    texts = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit(NULL_TEXT)) for c in columns]
-    return F.sha2(F.concat_ws(HASH_SEPARATOR, *texts), 256)
+    """SHA-256 over the columns in the given order. Each value is preceded by its length, and null is a
+    mark without a length, so no two rows of different values are hashed as the same text."""
+    texts = [F.col(quoted(c)).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def with_row_hash(df: DataFrame, columns: Sequence[str], name: str = "row_key") -> DataFrame:

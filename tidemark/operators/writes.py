@@ -1,46 +1,83 @@
-"""Writing tables: create, overwrite, append, insert-overwrite."""
+"""Writing tables: create, overwrite, append, replacing a catalog table.
+
+A table's schema is written beside its files, in the hidden folder ``_schema``: one line of JSON for each
+time that it gained columns. So neither an append nor a read opens the footers of all files, and
+columns that must not be null stay so, which parquet itself forgets.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
-from .schema import conform, enforce, merged_schema
+from ..session import new_path
+from .names import find, quoted
+from .schema import SchemaMismatch, conform, enforce, merged_schema
 
 
 def create(df: DataFrame, path: str) -> None:
     """Write a new table; fails if the path holds anything."""
     df.write.mode("errorifexists").parquet(path)
+    _remember(df.sparkSession, df.schema, path)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
     """Replace a table. ``df`` must not read from ``path``; to rewrite a table from itself, write
     its next version (see :func:`tidemark.operators.versions.write_version`)."""
     df.write.mode("overwrite").parquet(path)
+    _remember(df.sparkSession, df.schema, path)
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Add rows that have exactly the table's columns and types; others are rejected unwritten."""
-    table = read(df.sparkSession, path)
-    enforce(df, table.schema).write.mode("append").parquet(path)
+    """Add rows that have exactly the table's columns and types, without nulls where the table has
+    none; others are rejected unwritten."""
+    enforce(df, schema_of(df.sparkSession, path)).write.mode("append").parquet(path)
 
 
 def append_evolving(df: DataFrame, path: str) -> None:
-    """Add rows whose new columns become columns of the table; a shared column keeps its type.
-
-    The files get the table's columns first and the new ones after them, so the table has this
-    order whichever file is read first.
-    """
-    merged = merged_schema(read(df.sparkSession, path).schema, df.schema)
+    """Add rows whose new columns become columns of the table; a shared column keeps its type. The
+    table has its columns first and the new ones after them."""
+    old = schema_of(df.sparkSession, path)
+    merged = merged_schema(old, df.schema)
+    absent = [f.name for f in old.fields if not f.nullable and find(df.columns, f.name) is None]
+    if absent:
+        raise SchemaMismatch(f"nulls in required columns: {absent}")
     conform(df, merged).write.mode("append").parquet(path)
+    if len(merged) > len(old):
+        _remember(df.sparkSession, merged, path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The table with the columns of all its appends; their file footers are read in parallel."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """The table with the columns of all its appends."""
+    return spark.read.schema(schema_of(spark, path)).parquet(path)
+
+
+def schema_of(spark: SparkSession, path: str) -> T.StructType:
+    """The schema of a table, the widest that was remembered."""
+    lines = [json.loads(r[0]) for r in spark.read.text(f"{path}/_schema").collect()]  # one per evolution
+    return T.StructType.fromJson(max(lines, key=lambda s: len(s["fields"])))
+
+
+def _remember(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    line = spark.range(1).select(F.lit(schema.json()).alias("value"))
+    line.coalesce(1).write.mode("append").text(f"{path}/_schema")
 
 
-def insert_overwrite(df: DataFrame, table: str) -> None:
+def replace_table(df: DataFrame, table: str) -> None:
     """Replace a catalog table by position, also from a query over that same table: the rows are
-    written aside before the table is touched."""
-    materialize(df, "insert-overwrite").write.insertInto(table, overwrite=True)
+    written once, beside the old ones, and the table is then pointed at them. A failed write leaves it as
+    it was; the old files stay until they are expired."""
+    spark = df.sparkSession
+    wanted = spark.table(table).schema
+    if len(wanted) != len(df.columns):
+        raise ValueError(f"{table} has {len(wanted)} columns, the rows have {len(df.columns)}")
+    renamed = df.toDF(*(f"c{i}" for i in range(len(wanted))))
+    typed = renamed.select(*(F.col(f"c{i}").cast(f.dataType).alias(f.name) for i, f in enumerate(wanted.fields)))
+    path = new_path(spark, "replaced")
+    typed.write.parquet(path)
+    name = ".".join(map(quoted, table.split(".")))
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)

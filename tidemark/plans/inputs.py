@@ -11,6 +11,9 @@ from ..sources.files import table
 
 TRACKED = ["c_nationkey", "c_mktsegment"]
 
+#: Small enough for the provided tables to be numbered in several ranges.
+ROWS_PER_RANGE = 500
+
 DIMENSION_SQL = """
 dim AS (
   SELECT c_custkey, c_name, c_nationkey, c_mktsegment,

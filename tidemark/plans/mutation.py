@@ -27,33 +27,41 @@ src AS (
 )"""
 
 
-def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upsert(spark: SparkSession, sf_dir: str, key_type: str = "long", **options) -> DataFrame:
     part = table(spark, sf_dir, "part")
     wide = ["p_partkey", "p_name", "p_type", "p_retailprice", "p_brand", "p_size"]
     changed = part.where("p_type = 'PROMO'").withColumn("p_retailprice", F.col("p_retailprice") + 100)
     retyped = part.where("p_type = 'SMALL'").withColumn("p_type", F.lit("REWORKED"))
     added = part.where("p_size > 40").withColumn("p_partkey", -1 - F.col("p_partkey"))
     return merge(
-        part.select(wide[:4]),
+        part.select(wide[:4]).withColumn("p_partkey", F.col("p_partkey").cast(key_type)),
         changed.select(wide).union(retyped.select(wide)).union(added.select(wide)),
         ["P_PARTKEY", "P_TYPE"],
         matched=[WhenMatched()],
         not_matched=[WhenNotMatched()],
         evolve=True,
         with_action=True,
+        **options,
     )
 
 
-@query(
-    "merge_upsert_evolve",
-    f"""{_UPSERT_SQL}
+_UPSERTED_SQL = f"""{_UPSERT_SQL}
 SELECT t.p_partkey, COALESCE(s.p_name, t.p_name) AS p_name, t.p_type,
        COALESCE(s.p_retailprice, t.p_retailprice) AS p_retailprice, s.p_brand, s.p_size
 FROM tgt t LEFT JOIN src s ON s.p_partkey = t.p_partkey AND s.p_type = t.p_type
 UNION ALL
 SELECT s.* FROM src s
-WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE s.p_partkey = t.p_partkey AND s.p_type = t.p_type)""",
-)
+WHERE NOT EXISTS (SELECT 1 FROM tgt t WHERE s.p_partkey = t.p_partkey AND s.p_type = t.p_type)"""
+
+
+@query("merge_upsert_shuffled", _UPSERTED_SQL)
+def merge_upsert_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with nothing broadcast, and with 32-bit keys in the target against 64-bit ones."""
+    merged = _upsert(spark, sf_dir, "int", broadcast_bytes=0).drop("_action")
+    return merged.withColumn("p_partkey", F.col("p_partkey").cast("long"))
+
+
+@query("merge_upsert_evolve", _UPSERTED_SQL)
 def merge_upsert_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upsert on two keys; the table gains the two columns that only the change set has."""
     return _upsert(spark, sf_dir).drop("_action")
@@ -127,10 +135,9 @@ _HASHED = ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]
 
 
 def _hash_sql(type_sql: str = "p_type") -> str:
-    parts = ", ".join(
-        f"COALESCE(CAST({type_sql if c == 'p_type' else c} AS VARCHAR), '<null>')" for c in _HASHED
-    )
-    return f"sha256(concat_ws('||', {parts}))"
+    texts = [f"CAST({type_sql if c == 'p_type' else c} AS VARCHAR)" for c in _HASHED]
+    parts = " || ".join(f"COALESCE(CAST(length({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)
+    return f"sha256({parts})"
 
 
 @query("row_hash", f"SELECT p_partkey, {_hash_sql()} AS row_key FROM part")

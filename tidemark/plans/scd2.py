@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +9,13 @@ from ..operators import scd2
 from ..operators.joins import anti_join
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
 from ..operators.numbering import with_row_number
-from ..operators.writes import insert_overwrite
-from ..session import materialize, new_path
+from ..operators.writes import replace_table
+from ..session import materialize
+from .catalogs import catalog_table
 from .inputs import (
     DIMENSION_SQL,
     MODIFICATIONS_SQL,
+    ROWS_PER_RANGE,
     SURROGATE_SQL,
     TRACKED,
     UPDATES_SQL,
@@ -70,6 +70,67 @@ def scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("scd2_apply_shuffled", _MERGED_SQL)
+def scd2_apply_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with nothing broadcast, and with 32-bit keys in the dimension against 64-bit ones."""
+    target = dimension(spark, sf_dir).withColumn(_KEY, F.col(_KEY).cast("int"))
+    applied = scd2.apply_changes(target, updates(spark, sf_dir), _KEY, TRACKED, broadcast_bytes=0)
+    return dates_as_text(applied.withColumn(_KEY, F.col(_KEY).cast("long")))
+
+
+_REOPENED_SQL = f"""
+WITH {DIMENSION_SQL}, {UPDATES_SQL}, part_open AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, effective_date,
+         CASE WHEN c_nationkey % 3 = 0 AND is_current THEN DATE '1998-01-01' ELSE end_date END AS end_date,
+         is_current AND c_nationkey % 3 <> 0 AS is_current
+  FROM dim
+), hit AS (
+  SELECT u.* FROM upd u JOIN part_open d ON u.c_custkey = d.c_custkey
+  WHERE d.is_current AND (u.c_nationkey IS DISTINCT FROM d.c_nationkey
+                          OR u.c_mktsegment IS DISTINCT FROM d.c_mktsegment)
+)
+SELECT d.c_custkey, d.c_name, d.c_nationkey, d.c_mktsegment,
+       CAST(d.effective_date AS VARCHAR) AS effective_date,
+       CAST(CASE WHEN d.is_current AND h.c_custkey IS NOT NULL THEN h.effective_date
+                 ELSE d.end_date END AS VARCHAR) AS end_date,
+       d.is_current AND h.c_custkey IS NULL AS is_current
+FROM part_open d LEFT JOIN hit h ON d.c_custkey = h.c_custkey
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(effective_date AS VARCHAR), NULL, TRUE
+FROM hit
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(effective_date AS VARCHAR), NULL, TRUE
+FROM upd WHERE c_custkey NOT IN (SELECT c_custkey FROM part_open WHERE is_current)
+"""
+
+
+def _partly_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension with the current versions of every third nation closed."""
+    ended = F.col("is_current") & (F.col("c_nationkey") % 3 == 0)
+    return dimension(spark, sf_dir).withColumns(
+        {
+            "end_date": F.when(ended, date("1998-01-01")).otherwise(F.col("end_date")),
+            "is_current": F.col("is_current") & ~ended,
+        }
+    )
+
+
+@query("scd2_reopen", _REOPENED_SQL)
+def scd2_reopen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates for keys whose versions are all closed open a new one."""
+    return dates_as_text(
+        scd2.apply_changes(_partly_open(spark, sf_dir), updates(spark, sf_dir), _KEY, TRACKED)
+    )
+
+
+@query("scd2_reopen_staged", _REOPENED_SQL)
+def scd2_reopen_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a staged merge."""
+    return dates_as_text(
+        scd2.merge_changes(_partly_open(spark, sf_dir), updates(spark, sf_dir), _KEY, TRACKED)
+    )
+
+
 @query(
     "scd2_stage_changed",
     f"""WITH {DIMENSION_SQL}, {UPDATES_SQL}, {_CHANGED_SQL}
@@ -208,7 +269,7 @@ FROM merged"""
 
 def _renumbered(merged: DataFrame) -> DataFrame:
     """Dense ids from 0: known ids first, new rows after them by business key."""
-    numbered = with_row_number(merged, ["id", _KEY, "start_date"], "new_id")
+    numbered = with_row_number(merged, ["id", _KEY, "start_date"], "new_id", rows_per_range=ROWS_PER_RANGE)
     return numbered.withColumn("id", F.col("new_id")).drop("new_id")
 
 
@@ -221,15 +282,12 @@ def renumber_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scd2_catalog_table", _RENUMBERED_SQL)
 def scd2_catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on a catalog table: merged by name, then renumbered, both times overwriting the
-    table that was read."""
-    database = f"scd_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_path(spark, database)}'")
-    name = f"{database}.scd_type2"
-    surrogate_dimension(spark, sf_dir).write.saveAsTable(name)
-    insert_overwrite(_merge_by_surrogate(spark.table(name), incoming(spark, sf_dir)), name)
-    insert_overwrite(_renumbered(spark.table(name)), name)
-    return dates_as_text(spark.table(name))
+    """The same on a catalog table: merged, written aside and numbered, written beside the table and
+    put in its place."""
+    with catalog_table(surrogate_dimension(spark, sf_dir), "scd_type2") as name:
+        merged = materialize(_merge_by_surrogate(spark.table(name), incoming(spark, sf_dir)), "merged")
+        replace_table(_renumbered(merged), name)
+        return dates_as_text(spark.table(name))
 
 
 @query(
@@ -266,7 +324,15 @@ def scd2_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates_as_text(scd2.inactive(dimension(spark, sf_dir)).select(_SPLIT_COLUMNS))
 
 
-@query("null_compare_zero", f"WITH {DIMENSION_SQL} SELECT COUNT(*) AS n FROM dim WHERE end_date <> NULL")
+@query(
+    "null_compare_zero",
+    f"""WITH {DIMENSION_SQL}
+SELECT CASE WHEN end_date <> effective_date THEN 'true' WHEN NOT (end_date <> effective_date) THEN 'false'
+       ELSE 'unknown' END AS differs, COUNT(*) AS n
+FROM dim GROUP BY 1""",
+)
 def null_compare_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A comparison with null is never true, whatever the row."""
-    return dimension(spark, sf_dir).where("end_date <> NULL").agg(F.count(F.lit(1)).alias("n"))
+    """A comparison with a null end date is neither true nor false."""
+    test = F.col("end_date") != F.col("effective_date")
+    differs = F.when(test, "true").when(~test, "false").otherwise("unknown").alias("differs")
+    return dimension(spark, sf_dir).groupBy(differs).agg(F.count(F.lit(1)).alias("n"))

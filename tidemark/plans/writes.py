@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +12,8 @@ from ..operators.numbering import with_row_number
 from ..operators.schema import SchemaMismatch, enforce
 from ..session import new_path
 from ..sources.files import table
+from .catalogs import catalog_table
+from .inputs import ROWS_PER_RANGE
 from .registry import query
 
 _COLUMNS = ["o_orderkey", "o_custkey", "o_totalprice"]
@@ -25,13 +25,14 @@ def _orders(spark: SparkSession, sf_dir: str, condition: str = "TRUE") -> DataFr
     return table(spark, sf_dir, "orders").where(condition.replace("TIMESTAMP ", "TIMESTAMP_NTZ "))
 
 
-@query("write_errorifexists", f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_OLD}")
+@query("write_errorifexists", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def write_errorifexists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first write creates the table, the second one is refused and changes nothing."""
     path = new_path(spark, "created")
-    writes.create(_orders(spark, sf_dir, _OLD).select(_COLUMNS), path)
+    orders = _orders(spark, sf_dir).select(_COLUMNS)
+    writes.create(orders, path)
     try:
-        writes.create(_orders(spark, sf_dir).select(_COLUMNS), path)
+        writes.create(orders, path)
     except AnalysisException:
         return writes.read(spark, path)
     raise AssertionError("a write over an existing table was accepted")
@@ -74,15 +75,18 @@ def enforce_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     raise AssertionError("nulls were accepted")
 
 
-@query("append_rejected", f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_OLD}")
+@query("append_rejected", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def append_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows with another set of columns, and rows with another type, leave the table as it was."""
+    """Rows with another set of columns, with another type, and with a null where the table has none (which
+    takes reading them) leave the table as it was."""
     path = new_path(spark, "strict")
-    writes.create(_orders(spark, sf_dir, _OLD).select(_COLUMNS), path)
-    new = _orders(spark, sf_dir, _NEW)
+    orders = _orders(spark, sf_dir)
+    known = F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey")  # never null
+    writes.create(orders.select(known, *_COLUMNS[1:]), path)
     for rows in (
-        new.select("o_orderkey", "o_orderpriority"),
-        new.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("string")),
+        orders.select("o_orderkey", "o_orderpriority"),
+        orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("string")),
+        orders.select(F.expr("nullif(o_orderkey, o_custkey - o_custkey + 1)").alias("o_orderkey"), *_COLUMNS[1:]),
     ):
         try:
             writes.append(rows, path)
@@ -113,13 +117,11 @@ FROM customer""",
 )
 def insert_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replace a catalog table by a query over itself."""
-    database = f"scd_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_path(spark, database)}'")
-    name = f"{database}.customer_numbered"
-    customer = table(spark, sf_dir, "customer")
-    customer.select(
+    customer = table(spark, sf_dir, "customer").select(
         F.lit(None).cast("long").alias("id"), "c_custkey", "c_name", "c_acctbal"
-    ).write.saveAsTable(name)
-    numbered = with_row_number(spark.table(name), ["c_acctbal", "c_custkey"], "new_id")
-    writes.insert_overwrite(numbered.select("new_id", "c_custkey", "c_name", "c_acctbal"), name)
-    return spark.table(name)
+    )
+    with catalog_table(customer, "customer_numbered") as name:
+        order = ["c_acctbal", "c_custkey"]
+        numbered = with_row_number(spark.table(name), order, "new_id", rows_per_range=ROWS_PER_RANGE)
+        writes.replace_table(numbered.select("new_id", "c_custkey", "c_name", "c_acctbal"), name)
+        return spark.table(name)

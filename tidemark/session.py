@@ -22,7 +22,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _LOCAL_ROOT.setdefault(context.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
+    if context.applicationId not in _LOCAL_ROOT:
+        _LOCAL_ROOT[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOT[context.applicationId]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
