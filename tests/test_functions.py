@@ -1,3 +1,4 @@
+import datetime
 import subprocess
 import sys
 
@@ -10,7 +11,7 @@ from conftest import rows
 from tidemark.functions import scalars, udfs
 from tidemark.sources.catalog import literal_rows
 
-EDGES = [None, 0, 2, -3, 10000000, 3037000499, 3037000500, -3037000499, -3037000500, 2097151, 2097152, -2097152, -2097153]
+EDGES = [None, 2**63 - 1, -(2**63), 0, 2, -3, 10000000, 3037000499, 3037000500, -3037000499, -3037000500, 2097151, 2097152, -2097152, -2097153]
 
 
 @pytest.mark.parametrize("native, vectorised, power", [(scalars.square, udfs.square_udf, 2), (scalars.cube, udfs.cube_udf, 3)])
@@ -24,8 +25,8 @@ def test_powers(spark, native, vectorised, power):
 
 
 def test_salary_classes(spark):
-    people = literal_rows(spark, [("John", 15000), ("Alice", 5000), ("Bob", 25000), ("Eve", None), ("Max", 20000), ("Min", 10000)], "name string, salary long")
-    expected = {"John": "Medium", "Alice": "Low", "Bob": "Large", "Eve": None, "Max": "Medium", "Min": "Low"}
+    people = literal_rows(spark, [("Tove", 15500), ("Kemal", 4200), ("Priya", 26000), ("Nils", None), ("upper", 20000), ("lower", 10000)], "name string, salary long")
+    expected = {"Tove": "Medium", "Kemal": "Low", "Priya": "Large", "Nils": None, "upper": "Medium", "lower": "Low"}
     for rule in (scalars.categorize, udfs.categorize_udf):
         assert dict(tuple(r) for r in people.select("name", rule(F.col("salary"))).collect()) == expected
 
@@ -54,10 +55,22 @@ def test_dates(spark):
     assert [r[0] for r in days.collect()] == ["2003-02-24", "2004-12-01", None, None]
 
 
-def test_epoch_in_another_time_zone(spark, conf):
+@pytest.mark.parametrize("start", [1710028800, 1730592000])
+def test_epoch_in_another_time_zone(spark, conf, start):
+    """Every minute around both clock changes, the skipped hour included."""
     conf(spark__sql__session__timeZone="America/New_York")
-    df = spark.createDataFrame([("2/24/2003 0:00",)], "t string")
-    assert df.select(scalars.parse_epoch(F.col("t"), "M/d/yyyy H:mm")).first()[0] == 1046044800
+    moments = [datetime.datetime(1970, 1, 1) + datetime.timedelta(seconds=start + 60 * i) for i in range(480)]
+    texts = [(i, f"{m.month}/{m.day}/{m.year} {m.hour}:{m.minute:02d}") for i, m in enumerate(moments)]
+    texts = spark.createDataFrame(texts, "id long, t string")
+    parsed = texts.select("id", "t", scalars.parse_epoch(F.col("t"), "M/d/yyyy H:mm").alias("s"))
+    assert parsed.where(f"s IS NULL OR s <> {start} + 60 * id").isEmpty()
+
+
+def test_categories_of_fractions(spark):
+    """NaN is above every number."""
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (10000.5,), (None,)], "x double")
+    for rule in (scalars.categorize, udfs.categorize_udf):
+        assert [r[0] for r in df.select(rule(F.col("x"))).collect()] == ["Large", "Low", "Medium", None]
 
 
 def test_clean_name(spark):

@@ -7,8 +7,9 @@ need not have this package.
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +17,11 @@ from .scalars import CUBE_FITS, LARGE, LARGE_ABOVE, LOW, MEDIUM, MEDIUM_ABOVE, S
 
 
 def _power_udf(exponent: int, fits: tuple[int, int]):
-    @F.pandas_udf(T.LongType())
-    def power(numbers: pd.Series) -> pd.Series:
-        values = numbers.astype("Int64")
-        return values.where(values.between(*fits)) ** exponent
+    @F.arrow_udf(T.LongType())
+    def power(numbers: pa.Array) -> pa.Array:
+        wide = numbers.cast(pa.int64())
+        inside = pc.and_(pc.greater_equal(wide, fits[0]), pc.less_equal(wide, fits[1]))
+        return pc.power(pc.if_else(inside, wide, None), exponent)
 
     return power
 
@@ -28,10 +30,12 @@ square_udf = _power_udf(2, SQUARE_FITS)
 cube_udf = _power_udf(3, CUBE_FITS)
 
 
-@F.pandas_udf(T.StringType())
-def categorize_udf(amounts: pd.Series) -> pd.Series:
-    classes = np.select([amounts > LARGE_ABOVE, amounts > MEDIUM_ABOVE], [LARGE, MEDIUM], LOW)
-    return pd.Series(classes, index=amounts.index).where(amounts.notna(), None)
+@F.arrow_udf(T.StringType())
+def categorize_udf(amounts: pa.Array) -> pa.Array:
+    large = pc.greater(amounts, LARGE_ABOVE)
+    if pa.types.is_floating(amounts.type):  # NaN is above every number, as Spark orders them
+        large = pc.or_(large, pc.is_nan(amounts))
+    return pc.if_else(large, LARGE, pc.if_else(pc.greater(amounts, MEDIUM_ABOVE), MEDIUM, LOW))
 
 
 @F.pandas_udf(T.StringType())

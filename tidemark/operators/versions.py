@@ -18,6 +18,7 @@ VERSION = "_version"
 COMMITTED = "_commit_ts"
 OPERATION = "_op"
 LOG_COLUMNS = (VERSION, COMMITTED, OPERATION)
+_GONE = "_gone"
 
 
 def commit(rows: DataFrame, version: int, committed: datetime, operation: str) -> DataFrame:
@@ -41,7 +42,8 @@ def as_of(
     either, as it is now.
 
     The latest change per key is a partial aggregate: a key with many changes leaves each task
-    once, and nothing is sorted by version.
+    once. Each column is its own ``max_by``, so rows of fixed width are aggregated by hashing, and
+    nothing is sorted.
     """
     if version is not None and timestamp is not None:
         raise ValueError("give a version or a timestamp, not both")
@@ -55,15 +57,19 @@ def as_of(
         raise ValueError("the table has no commit at or before the point asked for")
 
     values = [c for c in changes.columns if c not in keys and c not in LOG_COLUMNS]
-    latest = seen.groupBy(*map(quoted, keys)).agg(
-        F.max_by(F.struct(OPERATION, *map(quoted, values)), VERSION).alias("_row")
-    )
-    columns = [
-        F.col(quoted(c)) if c in keys else F.col(f"_row.{quoted(c)}")
-        for c in changes.columns
-        if c not in LOG_COLUMNS
-    ]
-    return latest.where(F.col(f"_row.{OPERATION}") != "delete").select(*columns)
+    gone = F.max_by(F.col(OPERATION) == "delete", VERSION).alias(_GONE)
+    latest = seen.groupBy(*map(quoted, keys)).agg(gone, *(F.max_by(quoted(c), VERSION).alias(c) for c in values))
+    return latest.where(~F.col(_GONE)).select(*(quoted(c) for c in changes.columns if c not in LOG_COLUMNS))
+
+
+def commit_merge(merged: DataFrame, version: int, committed: datetime, action: str = "_action") -> DataFrame:
+    """What a merge did, as one commit of a change log: the rows that it inserted and updated.
+
+    ``merged`` is the result of a merge with ``with_action=True``.
+    """
+    changed = merged.where(F.col(action).isin("inserted", "updated"))
+    operation = F.when(F.col(action) == "inserted", "insert").otherwise("update")
+    return commit(changed, version, committed, "update").withColumn(OPERATION, operation).drop(action)
 
 
 def history(changes: DataFrame) -> DataFrame:

@@ -19,20 +19,23 @@ def _exact(name: str) -> Column:
     return F.col(name).cast("decimal(18,2)")
 
 
-@query("group_count", "SELECT p_type, COUNT(*) AS count FROM part GROUP BY p_type")
+@query("group_count", "SELECT l_returnflag, COUNT(*) AS lines FROM lineitem GROUP BY l_returnflag")
 def group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", "p_type").groupBy("p_type").count()
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"))
 
 
-_COUNT_SQL = """SELECT p_type, COUNT(p_partkey) AS product_count
-FROM {products} GROUP BY p_type ORDER BY p_type"""
-
-
-@query("sql_group_count", _COUNT_SQL.format(products="part"))
+@query(
+    "sql_group_count",
+    """SELECT o_orderpriority AS priority, COUNT(o_custkey) AS orders FROM orders
+GROUP BY o_orderpriority ORDER BY priority""",
+)
 def sql_group_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL text over a temporary view."""
-    table(spark, sf_dir, "part").createOrReplaceTempView("products")
-    return spark.sql(_COUNT_SQL.format(products="products"))
+    """SQL text over a relation that is passed in, so that no view name is taken."""
+    return spark.sql(
+        "SELECT o_orderpriority AS priority, COUNT(o_custkey) AS orders FROM {orders} "
+        "GROUP BY o_orderpriority ORDER BY priority",
+        orders=table(spark, sf_dir, "orders"),
+    )
 
 
 _MONTHLY_SQL = """SELECT CAST(year(o_orderdate) AS INTEGER) AS {year}, CAST(month(o_orderdate) AS INTEGER) AS {month},
@@ -53,20 +56,16 @@ def monthly_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("monthly_sum_renamed", _MONTHLY_SQL.format(year="year_id", month="month", total="total_sales"))
 def monthly_sum_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates parsed from text, the sum under its generated name, then renamed."""
-    sales = table(spark, sf_dir, "orders").select(
-        F.year("o_orderdate").alias("year_id"),
-        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("orderdate"),
-        _exact("o_totalprice").alias("sales"),
-    )
-    return (
-        sales.withColumn("orderdate", parse_date(F.col("orderdate"), "M/d/yyyy H:mm"))
-        .withColumn("month", F.month("orderdate"))
+    """The day is text and parsed; the sum comes under its generated name."""
+    written = F.date_format("o_orderdate", "M/d/yyyy H:mm")
+    day = parse_date(written, "M/d/yyyy H:mm")
+    summed = (
+        table(spark, sf_dir, "orders")
+        .select(F.year(day).alias("year_id"), F.month(day).alias("month"), _exact("o_totalprice").alias("price"))
         .groupBy("year_id", "month")
-        .sum("sales")
-        .withColumnRenamed("sum(sales)", "total_sales")
-        .withColumn("total_sales", _money(F.col("total_sales")))
+        .agg({"price": "sum"})
     )
+    return summed.select("year_id", "month", _money(F.col("sum(price)")).alias("total_sales"))
 
 
 @query(
@@ -95,12 +94,14 @@ def count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "collect_list_agg",
-    """SELECT string_agg(c_mktsegment, ',' ORDER BY c_mktsegment) AS segments, COUNT(*) AS n
-FROM (SELECT DISTINCT c_mktsegment FROM customer) AS s""",
+    """SELECT o_custkey, string_agg(o_orderstatus, ',' ORDER BY o_orderstatus) AS states, COUNT(*) AS n
+FROM orders GROUP BY o_custkey""",
 )
 def collect_list_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The values of a column as one list. Copies are dropped first, so that the list is as long
-    as the set of codes and not as the table."""
-    codes = table(spark, sf_dir, "customer").select("c_mktsegment").distinct()
-    values = F.sort_array(F.collect_list("c_mktsegment"))
-    return codes.agg(F.array_join(values, ",").alias("segments"), F.count("c_mktsegment").alias("n"))
+    """All values of a column as one list per key, copies included."""
+    states = F.sort_array(F.collect_list("o_orderstatus"))
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(F.array_join(states, ",").alias("states"), F.count("o_orderstatus").alias("n"))
+    )

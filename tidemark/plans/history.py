@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.schema import union_evolving
-from ..operators.versions import as_of, commit, history
+from ..operators.merge import WhenMatched, WhenNotMatched, merge
+from ..operators.versions import as_of, commit, commit_merge, history
+from ..session import materialize
 from ..sources.files import table
 from .registry import query
 
@@ -81,3 +83,53 @@ FROM log GROUP BY v, ts""",
 )
 def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(_change_log(spark, sf_dir))
+
+
+_MERGE_LOG_SQL = """
+WITH changes AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey,
+         o_custkey, o_totalprice + 7 AS o_totalprice
+  FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '2-HIGH'
+)"""
+
+
+def _merge_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders inserted, then a merge of new and re-priced ones, as its two commits."""
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
+    part = F.col("o_orderstatus") == "P"
+    changes = orders.where(part | (F.col("o_orderpriority") == "2-HIGH")).select(
+        F.when(part, -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        "o_custkey",
+        (F.col("o_totalprice") + 7).alias("o_totalprice"),
+    )
+    stored = orders.select(columns)
+    merged = merge(stored, changes, "o_orderkey", [WhenMatched()], [WhenNotMatched()], with_action=True)
+    first = commit(stored, 0, _COMMITS[0], "insert")
+    return first.unionByName(commit_merge(materialize(merged, "merged"), 1, _COMMITS[1]))
+
+
+@query(
+    "merge_history",
+    f"""{_MERGE_LOG_SQL}
+SELECT 0 AS version, TIMESTAMP '2024-01-01' AS committed, COUNT(*) AS rows_inserted,
+       CAST(0 AS BIGINT) AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted FROM orders
+UNION ALL
+SELECT 1, TIMESTAMP '2024-02-01', COUNT(CASE WHEN o_orderkey < 0 THEN 1 END),
+       COUNT(CASE WHEN o_orderkey >= 0 THEN 1 END), 0 FROM changes""",
+)
+def merge_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a merge did, read from the change log that it was committed to."""
+    return history(_merge_log(spark, sf_dir))
+
+
+@query(
+    "merge_as_of",
+    f"""{_MERGE_LOG_SQL}
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderkey NOT IN (SELECT o_orderkey FROM changes)
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM changes""",
+)
+def merge_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after the merge, read from the same log."""
+    return as_of(_merge_log(spark, sf_dir), ["o_orderkey"], version=1)

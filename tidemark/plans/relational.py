@@ -8,25 +8,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import try_integer
-from ..operators.joins import interval_join
+from ..operators.joins import anti_join, interval_join, semi_join
 from ..operators.numbering import with_row_number
 from ..operators.rows import sample_by_key
 from ..operators.schema import conform
 from ..sources.files import table
-from .inputs import UPDATES_SQL, updates
+from .inputs import ROWS_PER_RANGE, UPDATES_SQL, updates
 from .registry import dates_as_text, query
 
 # --- projections ----------------------------------------------------------------------------
 
 
-@query("project_columns", "SELECT p_partkey, p_retailprice FROM part")
+@query("project_columns", "SELECT s_suppkey, s_acctbal FROM supplier")
 def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part")["p_partkey", "p_retailprice"]
+    return table(spark, sf_dir, "supplier").select(["s_suppkey", "s_acctbal"])
 
 
-@query("select_expr", "SELECT event_id - 50 AS ad_id, ts AS click_time FROM events")
+@query(
+    "select_expr",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net, upper(l_returnflag) AS flag
+FROM lineitem""",
+)
 def select_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr("(event_id - 50) AS ad_id", "ts AS click_time")
+    net, flag = "l_extendedprice * (1 - l_discount) AS net", "upper(l_returnflag) AS flag"
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", net, flag)
 
 
 @query(
@@ -108,12 +113,13 @@ def filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.where("p_type == 'PROMO'").where(F.col("p_brand") == "Brand#12").select("p_partkey", "p_name")
 
 
-@query("filter_or", "SELECT p_name, p_retailprice FROM part WHERE p_type = 'PROMO' OR p_type = 'SMALL'")
+@query(
+    "filter_or",
+    "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderpriority = '1-URGENT' OR o_totalprice > 300000",
+)
 def filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
-    return part.select("p_name", "p_retailprice").where(
-        (part["p_type"] == "PROMO") | (part["p_type"] == "SMALL")
-    )
+    urgent, large = F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") > 300000
+    return table(spark, sf_dir, "orders").where(urgent | large).select("o_orderkey", "o_orderdate")
 
 
 _CHECKED_SQL = "SELECT * FROM {table} WHERE c_mktsegment = 'BUILDING' OR c_nationkey = 6"
@@ -121,9 +127,8 @@ _CHECKED_SQL = "SELECT * FROM {table} WHERE c_mktsegment = 'BUILDING' OR c_natio
 
 @query("sql_filter_or", _CHECKED_SQL.format(table="customer"))
 def sql_filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same kind of filter as SQL text over a temporary view."""
-    table(spark, sf_dir, "customer").createOrReplaceTempView("checked_customers")
-    return spark.sql(_CHECKED_SQL.format(table="checked_customers"))
+    """The same kind of filter as SQL text over a relation that is passed in."""
+    return spark.sql(_CHECKED_SQL, table=table(spark, sf_dir, "customer"))
 
 
 @query(
@@ -319,4 +324,26 @@ FROM orders""",
 def row_number_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of every order by date."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return with_row_number(orders, ["o_orderdate", "o_orderkey"], "position", start=1)
+    return with_row_number(orders, ["o_orderdate", "o_orderkey"], "position", start=1, rows_per_range=ROWS_PER_RANGE)
+
+
+_MEMBERS_SQL = """SELECT c_custkey, c_name FROM customer c
+WHERE {} (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')"""
+
+
+def _members(spark: SparkSession, sf_dir: str, join) -> DataFrame:
+    """Customers with 32-bit keys against orders with 64-bit ones, nothing broadcast."""
+    customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int"), "c_name")
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    found = join(customer, orders, [("c_custkey", "o_custkey")], broadcast_bytes=0)
+    return found.withColumn("c_custkey", F.col("c_custkey").cast("long"))
+
+
+@query("semi_shuffled", _MEMBERS_SQL.format("EXISTS"))
+def semi_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members(spark, sf_dir, semi_join)
+
+
+@query("anti_shuffled", _MEMBERS_SQL.format("NOT EXISTS"))
+def anti_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _members(spark, sf_dir, anti_join)

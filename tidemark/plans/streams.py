@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..streaming.ads import CLICK_DELAY, CLICK_LAG, IMPRESSION_DELAY, clicks, impressions
+from ..streaming.ads import CLICK_DELAY, CLICK_LAG, IMPRESSION_DELAY, occurrences
 from ..streaming.joins import join_in_range, join_on_key
 from ..streaming.sinks import run_available
 from ..streaming.sources import parquet_table
@@ -33,8 +33,8 @@ def _ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _joined_in_range(spark: SparkSession, sf_dir: str, how: str, label: str) -> DataFrame:
     ticks = _ticks(spark, sf_dir)
     joined = join_in_range(
-        impressions(ticks, IMPRESSION_DELAY),
-        clicks(ticks.where("event_type = 'click'"), CLICK_DELAY),
+        occurrences(ticks, "impression", IMPRESSION_DELAY),
+        occurrences(ticks.where("event_type = 'click'"), "click", CLICK_DELAY, CLICK_LAG),
         "impression_ad",
         "click_ad",
         "impression_time",
@@ -67,8 +67,8 @@ def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks with their impression, whenever they come."""
     ticks = _ticks(spark, sf_dir)
     joined = join_on_key(
-        impressions(ticks).withColumnRenamed("impression_ad", "ad_id"),
-        clicks(ticks.where("event_type = 'click'")).withColumnRenamed("click_ad", "ad_id"),
+        occurrences(ticks, "impression").withColumnRenamed("impression_ad", "ad_id"),
+        occurrences(ticks.where("event_type = 'click'"), "click", lag=CLICK_LAG).withColumnRenamed("click_ad", "ad_id"),
         "ad_id",
     )
     return _without_zone(run_available(joined, "inner"))

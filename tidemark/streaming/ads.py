@@ -1,9 +1,9 @@
-"""Impressions and clicks out of a stream of ``(value, timestamp)`` ticks, such as the rate source
-gives: every tick shows an advertisement, a click refers to one shown some ticks before."""
+"""Occurrences out of a stream of ``(value, timestamp)`` ticks, such as the rate source gives."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .joins import event_time
 
@@ -13,13 +13,14 @@ CLICK_DELAY = "20 seconds"
 CLICK_LAG = 50
 
 
-def impressions(ticks: DataFrame, delay: str | None = None) -> DataFrame:
-    """``impression_ad`` and ``impression_time``, with a watermark if ``delay`` is given."""
-    shown = ticks.selectExpr("value AS impression_ad", "timestamp AS impression_time")
-    return event_time(shown, "impression_time", delay)
+def occurrences(ticks: DataFrame, kind: str, delay: str | None = None, lag: int = 0) -> DataFrame:
+    """Each tick as an occurrence of some kind, in columns ``<kind>_ad`` and ``<kind>_time``.
 
-
-def clicks(ticks: DataFrame, delay: str | None = None, lag: int = CLICK_LAG) -> DataFrame:
-    """``click_ad`` and ``click_time`` for the ticks that are clicks."""
-    clicked = ticks.selectExpr(f"(value - {lag}) AS click_ad", "timestamp AS click_time")
-    return event_time(clicked.where("click_ad > 0"), "click_time", delay)
+    It concerns the advertisement of the tick ``lag`` ticks before; a tick that has none before it is
+    no occurrence. ``delay`` gives the stream a watermark.
+    """
+    named = ticks.select(
+        (F.col("value") - lag).alias(f"{kind}_ad"), F.col("timestamp").alias(f"{kind}_time")
+    )
+    known = named.where(F.col(f"{kind}_ad") > 0) if lag else named
+    return event_time(known, f"{kind}_time", delay)

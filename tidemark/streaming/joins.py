@@ -31,7 +31,7 @@ def join_in_range(
     click_time: str,
     length: timedelta,
     how: str = "inner",
-    spread: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """Clicks within ``length`` after their impression.
 
@@ -40,14 +40,12 @@ def join_in_range(
     Spark refuses that form without the watermarks.
 
     ``spread`` divides the state of a hot key over tasks by time slots (see
-    :func:`tidemark.operators.joins.interval_join`), for an inner join only, since an impression is
-    then held twice and must not be reported unmatched by one of its copies.
+    :func:`tidemark.operators.joins.interval_join`). An impression is held once, in its slot, so an outer
+    join reports it once; a click is held in two.
     """
     if spread:
-        if how != "inner":
-            raise ValueError("only an inner join can spread its keys")
         return interval_join(
-            impressions, clicks, impression_key, click_key, impression_time, click_time, length
+            impressions, clicks, impression_key, click_key, impression_time, click_time, length, how
         )
     same_ad = F.col(impression_key) == F.col(click_key)
     in_time = within_interval(F.col(impression_time), F.col(click_time), length)
