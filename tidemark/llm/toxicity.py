@@ -42,6 +42,7 @@ MOST_LABELLED = 1600
 WINDOWS = 40
 ROUNDS = 6
 MOST_POSITIVE = 16_000  # windows in a round
+LEAST_STEPS = 150  # gradient steps in a round
 BATCH = 128
 SEED = 5
 _CHUNK = 1024  # windows that are scored at once
@@ -268,7 +269,7 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
         if len(positive) > MOST_POSITIVE:  # in the first round, before the windows are told apart
             positive = rng.choice(positive, MOST_POSITIVE, replace=False)
         many = min(len(negative), max(3 * len(positive) if round_ else len(positive), 4000))
-        for _ in range(1 if round_ == 0 else 2):
+        for _ in range(max(1 if round_ == 0 else 2, -(-LEAST_STEPS * BATCH // max(1, many + len(positive))))):
             few = negative
             if many < len(negative):  # half of them those that look worst
                 hard = negative[np.argsort(-logits[negative], kind="stable")[: many // 2]] if round_ else negative[:0]
