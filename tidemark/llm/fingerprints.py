@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 64
+AT_ONCE = 8
 ROWS_PER_RANGE = 1000
 MOST_RANGES = 2**14
 
@@ -58,11 +59,14 @@ def term(word: Column) -> Column:
 
 
 def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> DataFrame:
-    """One row per key with ``drawn``, an array of the least value of each draw.
+    """Rows (keys, part, drawn): ``drawn`` has the least value of each draw of a part, ``AT_ONCE`` of them.
 
     ``counts`` has a row per key and ``term`` with its count ``n``. A null term is never drawn; a key
-    that has no other gets nulls.
+    that has no other gets nulls. Draws are rows as far as that keeps the plan small, and columns
+    as far as that saves rows.
     """
+    if samples % AT_ONCE:
+        raise ValueError(f"the number of samples must be a multiple of {AT_ONCE}")
     # Not constant to the optimiser, which would copy the tables into each draw.
     table = lambda values: F.when(F.col("n").isNotNull(), F.array(*map(F.lit, values)))
     tables = counts.select(
@@ -71,10 +75,11 @@ def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> Dat
         F.log("n").alias("log_n"),
         table([_gamma_quantile(1 - p) for p in _CELLS]).alias("steps"),
         table([math.log(_gamma_quantile(p)) for p in _CELLS]).alias("heights"),
+        F.explode(F.sequence(F.lit(0), F.lit(samples // AT_ONCE - 1))).alias("part"),
     )
 
     def least(k: int) -> Column:
-        bits = F.xxhash64("term", F.lit(k))
+        bits = F.xxhash64("term", F.col("part") * AT_ONCE + k)
         part = lambda at, n: F.shiftright(bits, at).bitwiseAND((1 << n) - 1)
         cell = lambda at: F.when(part(at, 8) > 0, part(at, 8) + 256).otherwise(part(at + 8, 8)).cast("int")
         step, height = F.get("steps", cell(0)), F.get("heights", cell(16))
@@ -83,8 +88,15 @@ def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> Dat
         value = height - step * (level - offset + 1)
         return F.min(F.when(F.col("term").isNotNull(), value)).alias(f"draw_{k}")
 
-    least_values = tables.groupBy(*keys).agg(*(least(k) for k in range(samples)))
-    return least_values.select(*keys, F.array(*(f"draw_{k}" for k in range(samples))).alias("drawn"))
+    least_values = tables.groupBy(*keys, "part").agg(*(least(k) for k in range(AT_ONCE)))
+    return least_values.select(*keys, "part", F.array(*(f"draw_{k}" for k in range(AT_ONCE))).alias("drawn"))
+
+
+def joined(parts: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One row per key: the arrays ``names`` of its parts, one after another."""
+    ordered = F.array_sort(F.collect_list(F.struct("part", *names)))
+    whole = parts.groupBy(*keys).agg(ordered.alias("parts"))
+    return whole.select(*keys, *(F.flatten(F.col(f"parts.{n}")).alias(n) for n in names))
 
 
 def signature(drawn: Column) -> Column:
@@ -172,9 +184,8 @@ def fingerprints(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
         .agg(F.count(F.lit(1)).alias("n"))
     )
     drawn = draws(counts, ["id", "content"], samples)
-    return drawn.select("id", "content", signature(F.col("drawn")).alias("signature")).withColumn(
-        "fingerprint", as_text(F.col("signature"))
-    )
+    signed = drawn.select("id", "content", "part", signature(F.col("drawn")).alias("signature"))
+    return joined(signed, ["id", "content"], ["signature"]).withColumn("fingerprint", as_text(F.col("signature")))
 
 
 def compare_with_edits(docs: DataFrame, *, ident: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
@@ -201,15 +212,17 @@ def compare_with_edits(docs: DataFrame, *, ident: str = "doc_id", text: str = "t
     drawn = draws(apart, [*rows, "of"], samples)
     of = lambda name: F.max(F.when(F.col("of") == name, F.col("drawn")))
     lesser = lambda a, b: F.zip_with(F.coalesce(a, b), F.coalesce(b, a), lambda x, y: F.least(x, y))
-    signatures = (
-        drawn.groupBy(*rows)
+    signed = (
+        drawn.groupBy(*rows, "part")
         .agg(of("own").alias("own"), of("changed").alias("changed"), of("both").alias("both"))
         .select(
             *rows,
+            "part",
             signature(lesser(F.col("own"), F.col("both"))).alias("own"),
             signature(lesser(F.col("changed"), F.col("both"))).alias("changed"),
         )
     )
+    signatures = joined(signed, rows, ["own", "changed"])
     about = beside.select(
         *rows,
         "guest",
