@@ -38,12 +38,12 @@ cloudpickle.register_pickle_by_value(batches)
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 13, 13
 DIM, HIDDEN = 12, 8
-MOST_LABELLED = 1600
+MOST_LABELLED = 1000
 WINDOWS = 40
-ROUNDS = 6
+ROUNDS = 5
 MOST_POSITIVE = 16_000  # windows in a round
-LEAST_STEPS = 150  # gradient steps in a round
-BATCH = 128
+LEAST_STEPS = 100  # gradient steps in a round
+BATCH = 256
 SEED = 5
 _CHUNK = 1024  # windows that are scored at once
 
@@ -256,7 +256,7 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
     doc_first = np.searchsorted(doc, np.arange(len(texts)))
     toxic = labels[doc] == 1
     network, rng = Network.fresh(), np.random.default_rng(SEED)
-    adam = _Adam(network.p, 0.01)
+    adam = _Adam(network.p, 0.015)
     padded = np.append(number, -1)
     chosen = np.ones(len(start), dtype=bool)
     for round_ in range(ROUNDS):
