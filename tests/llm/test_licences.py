@@ -51,6 +51,18 @@ def test_words_may_be_missing_but_not_the_phrase(spark):
     assert found == {1: "apache-2.0", 2: ""}
 
 
+def test_no_template_keeps_out_another(spark):
+    """All notices in one text, in either order, amid all indexed words; and each of two that come last."""
+    every = [t.text for t in licences.TEMPLATES]
+    words = " ".join(sorted({w for t in licences.TEMPLATES for w in t.words}))
+    texts = [". ".join(every), ". ".join(reversed(every)), *(f"{words}. {brute.prose(4, 30)}. {t}" for t in every)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in licences.scan(df).collect()}
+    labels = {t.label for t in licences.TEMPLATES}
+    assert labels <= found[0] and labels <= found[1]
+    assert all(t.label in found[2 + i] for i, t in enumerate(licences.TEMPLATES))
+
+
 def test_awkward_rows(spark):
     df = brute.awkward(spark)
     found = licences.scan(df)

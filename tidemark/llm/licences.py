@@ -1,10 +1,10 @@
 """Find licence notices with a positional index of rare licence words.
 
 Of each template the words that are rarest in the corpus (highest inverse document frequency over
-all documents) are indexed with their positions. A file is scanned for indexed words; its rarest ones
-are looked up, and each occurrence proposes that a template begins a fixed number of words before it.
+all documents) are indexed with their positions. A file is scanned for indexed words; all of them are
+looked up, and each occurrence proposes that a template begins a fixed number of words before it.
 A proposal holds if enough of the template's words stand at their relative positions and its mandatory
-phrase stands there whole.
+phrase stands there whole; if the rarest word of the phrase is not at its place, it is dropped at once.
 
 Everything about a file happens in its own row: there is no join and no shuffle but that of the
 document frequencies, which has a row per template word and task. Words are runs of ASCII letters
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 
 from .text import private
 
-#: How many of a template's rarest words are indexed, and of a file's are looked up.
+#: How many of a template's rarest words are indexed.
 INDEXED = 6
-LOOKED_UP = 12
 #: The share of a template's words that must stand at their places.
 SHARE = 0.8
 #: The score of a file in which only a bare phrase was found.
@@ -128,12 +127,14 @@ def scan(
 ) -> DataFrame:
     """``docs`` with the words of each text, the places of bare phrases, labels and a score."""
     total, frequency = frequencies or document_frequencies(docs, text, templates)
-    index: dict[str, list[tuple[int, int]]] = {}
+    index: dict[str, list[tuple[int, int, int, str]]] = {}
     for number, template in enumerate(templates):
+        phrase = template.phrase.split()
+        sure = rarest(phrase, total, frequency, 1)[0]
+        sure_at = template.phrase_at + phrase.index(sure)
         for word in rarest(template.words, total, frequency, INDEXED):
-            places = [(number, at) for at, w in enumerate(template.words) if w == word]
+            places = [(number, at, sure_at - at, sure) for at, w in enumerate(template.words) if w == word]
             index.setdefault(word, []).extend(places)
-    by_rarity = rarest(list(index), total, frequency, len(index))
     heads = {p.split()[0] for p, _ in phrases}
     scanned = sorted(heads | set(index))
 
@@ -151,22 +152,18 @@ def scan(
 
     out = out.withColumn(base, F.concat(*(phrase_places(*p) for p in phrases)))
 
-    # The file's rarest indexed words, in the order of rarity, then what each occurrence proposes.
-    present = F.array_distinct(F.transform(F.col(hits), word_at))
-    ranked = F.array_intersect(F.array(*map(F.lit, by_rarity)), present)
-    postings = F.create_map(
-        *(x for w, places in index.items() for x in (F.lit(w), F.array(*(F.struct(F.lit(t).alias("t"), F.lit(at).alias("at")) for t, at in places))))
-    )
+    # What each occurrence of an indexed word proposes: no word of one template keeps out another's.
+    def posting(number: int, at: int, ahead: int, sure: str) -> Column:
+        return F.struct(F.lit(number).alias("t"), F.lit(at).alias("at"), F.lit(ahead).alias("ahead"), F.lit(sure).alias("sure"))
+
+    postings = F.create_map(*(x for w, places in index.items() for x in (F.lit(w), F.array(*(posting(*p) for p in places)))))
 
     def proposed(i: Column) -> Column:
-        return F.transform(
-            F.coalesce(F.try_element_at(postings, word_at(i)), F.array().cast("array<struct<t:int,at:int>>")),
-            lambda p: (p["t"].cast("long") * (1 << 32) + i - p["at"] + 1024),
-        )
-
-    looked_up = F.slice(ranked, 1, LOOKED_UP)
-    rare_hits = F.filter(F.col(hits), lambda i: F.array_contains(looked_up, word_at(i)))
-    out = out.withColumn(proposals, F.when(F.size(hits) > 0, F.array_distinct(F.flatten(F.transform(rare_hits, proposed)))))
+        mine = F.coalesce(F.try_element_at(postings, word_at(i)), F.array().cast("array<struct<t:int,at:int,ahead:int,sure:string>>"))
+        likely = F.filter(mine, lambda p: word_at(i + p["ahead"]) == p["sure"])
+        return F.transform(likely, lambda p: (p["t"].cast("long") * (1 << 32) + i - p["at"] + 1024))
+
+    out = out.withColumn(proposals, F.when(F.size(hits) > 0, F.array_distinct(F.flatten(F.transform(F.col(hits), proposed)))))
 
     def proof(number: int, template: Template) -> Column:
         """The best share of the template's words at a proposed place that has its phrase; or null."""
