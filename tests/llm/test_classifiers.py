@@ -74,6 +74,31 @@ def test_all_windows_are_scored():
     assert (end - start <= toxicity.WINDOW).all()
 
 
+def test_training_sees_all_windows_of_long_documents(spark, monkeypatch):
+    """Passages of 20 toxic words in texts of 200 windows; then clean and toxic texts of 1,250 windows."""
+    rng = np.random.default_rng(6)
+    clean = lambda n: rng.choice("an er on the sh ti or ou ing ble ha re st nd".split(), n).tolist()
+    def text(n, toxic):
+        words, at = clean(n), rng.integers(0, n - 20)
+        if toxic:
+            words[at : at + 20] = rng.choice(["vile", "scum", "filth"], 20)
+        return " ".join(words)
+
+    sizes = [3200 if i % 10 < 2 else 40 for i in range(200)]
+    docs = spark.createDataFrame([(i, text(n, i % 2)) for i, n in enumerate(sizes)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    trained, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, *rest: trained.extend(texts) or train(texts, *rest))
+    network = toxicity.fit(docs, labels)
+    assert {len(windows) for windows in trained} == {2, 199}
+    scores = network.scores([text(20_000, i % 2).encode() for i in range(8)])
+    assert (scores[0::2] < 0.5).all() and (scores[1::2] > 0.5).all(), scores
+    trained.clear()
+    monkeypatch.setattr(toxicity, "MOST_WINDOWS", 500)  # fewer documents, none of them cut
+    toxicity.fit(docs, labels)
+    assert {len(windows) for windows in trained} == {2, 199} and 1000 <= sum(map(len, trained)) < 1400
+
+
 def test_scores_do_not_depend_on_the_batch():
     texts = [brute.prose(i, 5 + 20 * i).encode() for i in range(12)] + [b"", "É é".encode()]
     labels = np.array([i % 2 for i in range(14)])

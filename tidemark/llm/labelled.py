@@ -37,6 +37,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, i
     return docs.join(F.broadcast(sample), F.col(ident) == F.col("labelled")).drop("labelled")
 
 
+def label_share(labels: DataFrame, label: str, ident: str = "doc_id") -> float:
+    """The share of label 1 among all labels (0 or 1) that are not held out."""
+    known = labels.filter(fold(F.col(ident), FOLDS) != 0)
+    positive, every = known.agg(F.count_if(F.col(label) == 1), F.count_if(F.col(label).isin(0, 1))).first()
+    return positive / max(1, every)
+
+
 def with_scores(
     docs: DataFrame,
     scorer: Callable[..., np.ndarray],

@@ -8,8 +8,8 @@ score is that of its worst window, calibrated on documents.
 
 Training sees labels of documents only, so it alternates: score the windows of toxic documents, take
 those for positive that stand out (each such document has at least one), train on. It is done on the
-driver, on a bounded sample (``most`` documents of each label, ``WINDOWS`` windows of each, spread over
-the whole text). Scoring sends the trained numbers to the tasks, which work on Arrow batches; the gates'
+driver, on all windows of a bounded sample (at most ``most`` documents of each label, and no more of them once
+they have ``MOST_WINDOWS`` windows; no document is cut), so the maxima that it is calibrated on are those of scoring. Scoring sends the trained numbers to the tasks, which work on Arrow batches; the gates'
 share of the inputs is computed once for each distinct word of a batch part.
 
 Defined results: null and empty texts have no tokens and are scored as one empty window; without labels
@@ -28,9 +28,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import batches
-from .labelled import FOLDS, training_sample, with_scores
-from .text import fold
+from .labelled import label_share, training_sample, with_scores
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(batches)
@@ -39,7 +39,7 @@ WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 13, 13
 DIM, HIDDEN = 12, 8
 MOST_LABELLED = 1000
-WINDOWS = 40
+MOST_WINDOWS = 40_000  # of the documents of a label; the one that reaches it is the last
 ROUNDS = 5
 MOST_POSITIVE = 16_000  # windows in a round
 LEAST_STEPS = 100  # gradient steps in a round
@@ -319,35 +319,45 @@ def _calibrated(worst: np.ndarray, labels: np.ndarray, share: float) -> tuple[fl
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", ident: str = "doc_id", text: str = "text", most: int = MOST_LABELLED) -> Network:
-    """Train on at most ``most`` documents of each label that are not held out, and of each on at most
-    ``WINDOWS`` windows at equal distances."""
+    """Train on all windows of at most ``most`` documents of each label that are not held out; of fewer, in the
+    order of their hashes, if these have ``MOST_WINDOWS`` windows."""
 
     def run(parts):
         for batch in parts:
             for part in batches.slices(batch, text):
                 words = batches.Words(batches.column_bytes(part.column(text)))
                 owner, start, end = windows_of(words.first)
+                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 windows = []
                 for i in range(part.num_rows):
-                    own = np.flatnonzero(owner == i)
-                    own = own[np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS)).astype(int))]
+                    own = range(bounds[i], bounds[i + 1])
                     spans = [(words.start[start[w]], words.end[end[w] - 1]) for w in own if end[w] > start[w]]
                     windows.append([words.data[a:b].tobytes() for a, b in spans] or [b""])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("key"), part.column("label"), pa.array(windows, pa.list_(pa.binary()))],
-                    names=["key", "label", "windows"],
+                    [
+                        *(part.column(c) for c in ("key", "label")),
+                        pa.array([len(w) for w in windows], pa.int32()),
+                        pa.array(windows, pa.list_(pa.binary())),
+                    ],
+                    names=["key", "label", "n", "windows"],
                 )
 
     named = docs.select(F.col(ident), F.xxhash64(ident, text).alias("key"), F.col(text))
     sample = training_sample(named, labels, label, most, ident).select("key", "label", text)
-    found = sample.mapInArrow(run, "key long, label int, windows array<binary>").collect()
-    found.sort(key=lambda r: r["key"])
-    known = labels.filter(fold(F.col(ident), FOLDS) != 0).agg(
-        F.count_if(F.col(label) == 1), F.count_if(F.col(label).isin(0, 1))
-    )
-    positive, every = known.first()
+    windows = materialize(sample.mapInArrow(run, "key long, label int, n int, windows array<binary>"), "toxicity-windows")
+    counts = windows.select("key", "label", "n").collect()  # a row per document of the sample
+    taken = F.lit(False)
+    for value in (0, 1):
+        own = sorted((r["key"], r["n"]) for r in counts if r["label"] == value)
+        if own:
+            before = np.cumsum([0] + [n for _, n in own[:-1]])
+            last = own[int((before < MOST_WINDOWS).sum()) - 1][0]
+            taken = taken | ((F.col("label") == value) & (F.col("key") <= last))
+    found = sorted(windows.filter(taken).collect(), key=lambda r: r["key"])
     return train(
-        [[bytes(w) for w in r["windows"]] for r in found], np.array([r["label"] for r in found]), positive / max(1, every)
+        [[bytes(w) for w in r["windows"]] for r in found],
+        np.array([r["label"] for r in found]),
+        label_share(labels, label, ident),
     )
 
 
