@@ -15,6 +15,8 @@ from tidemark.llm.text import table
 from tidemark.session import materialize
 
 QUALITY = 0.3
+#: Shards are split until they have at most so many bytes on average; there are always at least ``SHARDS``.
+SHARD_BYTES = 1 << 30
 SHARDS = 8
 
 
@@ -43,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their shard and their place in it."""
-    return sharding.shard(docs, SHARDS)
+    return sharding.shard(docs, target_bytes=SHARD_BYTES, least=SHARDS)
 
 
 STAGES = [

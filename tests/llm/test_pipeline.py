@@ -76,6 +76,14 @@ def test_shards(stages):
     assert len(sizes) == 8 and max(sizes) < 1.5 * np.mean(sizes)
 
 
+def test_shards_grow_with_the_bytes(spark, monkeypatch):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    total = given.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(corpus_pipeline, "SHARD_BYTES", total // 19)
+    found = corpus_pipeline.sharding_stage(spark, given, SF_DIR)
+    assert found.select("shard").distinct().count() in (19, 20)
+
+
 @pytest.mark.parametrize("kind", ["awkward", "empty"])
 def test_awkward_and_empty_documents(spark, kind):
     docs = getattr(brute, kind)(spark)

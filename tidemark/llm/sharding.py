@@ -265,20 +265,21 @@ def shard(
     shards: int | None = None,
     *,
     target_bytes: int = 1 << 30,
+    least: int = 1,
     ident: str = "doc_id",
     text: str = "text",
     dimensions: Sequence[str] = (),
 ) -> DataFrame:
     """``docs`` with ``shard`` (0 to ``shards`` - 1) and ``slot``, the row's number in its shard.
 
-    Without ``shards`` there are as many as reach ``target_bytes``. ``docs`` is read twice.
+    Without ``shards`` there are as many as reach ``target_bytes``, and at least ``least``. ``docs`` is read twice.
     """
     plain = docs.drop("shard", "slot")
     whole = private(plain, "shard_row")
     columns = place_columns(plain, ident, text, dimensions)
     narrow = materialize(plain.select(*columns), "shard-places")
     rows, size = narrow.agg(F.count(F.lit(1)), F.sum("size")).first()
-    shards = shards or shards_for(size or 0, target_bytes)
+    shards = shards or max(least, shards_for(size or 0, target_bytes))
     levels = grow(narrow, shards)
     packed = plain.select(F.struct("*").alias(whole), *columns)
     placed = place(packed, levels).withColumn("shard", F.col("node").cast("int"))
