@@ -30,6 +30,20 @@ def test_toxicity_on_held_out_documents(spark):
     assert area(score, label) > 0.8
 
 
+def test_quality_scores_do_not_depend_on_the_bound_of_the_sample(spark):
+    """85 % good documents: texts that tell nothing keep those odds in a sample of as many of either label."""
+    rng = np.random.default_rng(5)
+    plain = lambda: rng.choice("an er on the sh ti or ou".split(), 12).tolist()
+    good = np.arange(3000) % 20 < 17
+    mark = np.where(rng.random(3000) < 0.6, np.where(good, "fine", "junk"), "so")
+    docs = spark.createDataFrame([(i, " ".join([*plain(), mark[i]]), 50) for i in range(3000)], "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, int(good[i])) for i in range(3000)], "doc_id long, quality int")
+    texts, lengths = [" ".join([*plain(), "so"]).encode() for _ in range(200)], np.full(200, np.log1p(50))
+    every, few = (quality.fit(docs, labels, most=most).scores(texts, lengths) for most in (4000, 250))
+    odds = [np.log(x / (1 - x)).mean() for x in (every, few)]
+    assert abs(odds[0] - odds[1]) < 0.6, odds
+
+
 def test_sum_of_squares_identity():
     rng = np.random.default_rng(1)
     machine = quality.Machine([], 0.3, rng.normal(size=9), rng.normal(size=(9, quality.FACTORS)))

@@ -4,7 +4,8 @@ A text is a sparse vector: its words, hashed, by their counts (unit length toget
 its structure and its stated length, each as the quantile bin it falls into. The machine is
 bias + sum w_i x_i + sum over pairs <v_i, v_j> x_i x_j, where the pairs cost linear time, since their
 sum is half of (sum v_i x_i) ** 2 - sum (v_i x_i) ** 2 per factor. It is trained with numpy on the
-driver, on a bounded sample (``most`` documents of each label), and applied to Arrow batches.
+driver, on a bounded sample (``most`` documents of each label, weighted so that both labels have their
+shares of all training labels), and applied to Arrow batches.
 
 Defined results: a null text is empty, and an empty text is scored by its structure; a null length is a
 bin of its own; without labels of both kinds every score is the share of label 1 (0.5 without any);
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import batches
-from .labelled import training_sample, with_scores
+from .labelled import label_share, training_sample, with_scores
 from .text import private
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -134,15 +135,27 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def train(word_rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, labels: np.ndarray) -> Machine:
-    """Fit by adaptive gradient steps on the logistic loss, in small batches."""
+def _quantiles(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The distinct ``BIN_EDGES`` quantiles of weighted values; with equal weights the usual, interpolated ones."""
+    order = np.argsort(values, kind="stable")
+    at = np.cumsum(weight[order]) - 0.5 * weight[order]
+    return np.unique(np.interp(BIN_EDGES, (at - at[0]) / (at[-1] - at[0]), values[order]))
+
+
+def train(
+    word_rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, labels: np.ndarray, share: float | None = None
+) -> Machine:
+    """Fit by adaptive gradient steps on the logistic loss, in small batches. ``share``: that of label 1 where
+    the documents come from, if they are not a fair sample; documents are weighted to have it."""
     if len(set(labels.tolist())) < 2:
         share = min(max(labels.mean() if len(labels) else 0.5, 1e-6), 1 - 1e-6)
         return Machine([], float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
-    edges = [np.unique(np.quantile(stats[:, j], BIN_EDGES)) for j in range(stats.shape[1])]
+    sampled = labels.mean()
+    share = sampled if share is None else share
+    weight = np.where(labels == 1, share / sampled, (1 - share) / (1 - sampled))
+    edges = [_quantiles(stats[:, j], weight) for j in range(stats.shape[1])]
     size = (1 << WORD_BITS) + sum(len(e) + 1 for e in edges)
     rng = np.random.default_rng(SEED)
-    share = labels.mean()
     machine = Machine(edges, float(np.log(share / (1 - share))), np.zeros(size), rng.normal(0, 0.05, (size, FACTORS)))
     seen_w, seen_v = np.full(size, 1e-2), np.full((size, FACTORS), 1e-2)
     bin_of, offset = [], 1 << WORD_BITS
@@ -161,7 +174,7 @@ def train(word_rows: list[tuple[np.ndarray, np.ndarray]], stats: np.ndarray, lab
             values = np.concatenate([x for i in batch for x in (word_rows[i][1], bin_value)])
             rows = Rows(first, np.concatenate(features), values)
             raw, sums = machine.raw(rows)
-            error = 1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[batch]
+            error = weight[batch] * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels[batch])
             each = np.repeat(error / len(batch), np.diff(first)) * rows.value
             used, at = np.unique(rows.feature, return_inverse=True)
             grad_w = np.bincount(at, weights=each) + 1e-5 * machine.weights[used]
@@ -209,7 +222,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", ident: st
     found.sort(key=lambda r: r["key"])
     words = [(np.array(r["features"], dtype=np.int64), np.array(r["vals"])) for r in found]
     stats = np.array([r["stats"] for r in found]).reshape(len(found), KINDS + 8)
-    return train(words, stats, np.array([r["label"] for r in found], dtype=float))
+    return train(words, stats, np.array([r["label"] for r in found], dtype=float), label_share(labels, label, ident))
 
 
 def stated_length(length: str):
