@@ -110,3 +110,28 @@ def test_unbounded_types_are_never_small(spark):
     df = spark.createDataFrame([([1, 2],)], "v array<int>")
     assert total_bytes(df) is None
     assert not is_small(df, 1 << 40)
+
+
+@pytest.mark.parametrize("zone, day", [
+    ("Europe/Berlin", "2024-03-30"), ("Europe/Berlin", "2024-10-26"), ("Asia/Jerusalem", "2024-03-28"),
+    ("America/New_York", "2024-11-02"), ("Australia/Lord_Howe", "2024-10-05"),
+])
+@pytest.mark.parametrize("hours", [24, 25, 26.5, 30, 37, 48])
+def test_interval_join_of_days_across_clock_changes(spark, conf, zone, day, hours):
+    """A grid of 20 minutes over the change; whole days are those of the session's calendar."""
+    conf(spark__sql__session__timeZone=zone)
+    moments = spark.range(0, 216).selectExpr("1 AS k", f"TIMESTAMP '{day} 00:00:00' + make_dt_interval(0, 0, 20 * id) AS at")
+    left, right = moments.toDF("k", "shown"), moments.toDF("key", "clicked")
+    length = timedelta(hours=hours)
+    plain = left.join(right, F.expr("k = key AND clicked >= shown") & (F.col("clicked") <= F.col("shown") + F.lit(length)))
+    assert interval_join(left, right, "k", "key", "shown", "clicked", length).count() == plain.count()
+
+
+def test_interval_join_of_dates_and_of_two_types(spark):
+    days = spark.range(0, 40).selectExpr("1 AS k", "date_add(DATE '2024-02-20', cast(id AS int)) AS at", "id AS _slot")
+    left, right = days.toDF("k", "shown", "_slot"), days.toDF("key", "clicked", "_SLOT_")
+    got = interval_join(left, right, "k", "key", "shown", "clicked", timedelta(days=3))
+    assert got.columns == ["k", "shown", "_slot", "key", "clicked", "_SLOT_"]
+    assert got.count() == sum(min(3, 39 - i) + 1 for i in range(40))
+    zoned = right.withColumn("clicked", F.col("clicked").cast("timestamp"))
+    assert interval_join(left, zoned, "k", "key", "shown", "clicked", timedelta(days=3)).count() == got.count()

@@ -192,3 +192,12 @@ def test_skewed_target_is_split(spark, tmp_path, conf):
     merged.collect()
     assert "skew=true" in plan(merged)
     assert merged.where("k = 7").count() == target.where("k = 7").count()
+
+
+def test_columns_of_the_user_are_kept(spark):
+    target = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "k int, _action string, _matched_source string")
+    source = spark.createDataFrame([(2, "x", "y"), (3, "z", None)], "k int, _action string, _matched_source string")
+    merged = merge(target, source, "k", [WhenMatched()], [WhenNotMatched()])
+    assert rows(merged) == [(1, "a", "b"), (2, "x", "y"), (3, "z", None)]
+    with pytest.raises(ValueError, match="_action"):
+        merge(target, source, "k", [WhenMatched()], [WhenNotMatched()], with_action=True)

@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
-from tidemark.operators.numbering import _bounds, _with_range, with_row_number
+from tidemark.operators.numbering import _bounds, _with_range, number_new_rows, with_row_number
 
 
 def plain(df, order, name, start):
@@ -64,3 +64,35 @@ def test_numbers_do_not_depend_on_partitions(spark):
 
 def test_empty(spark):
     assert with_row_number(spark.range(0), ["id"], "nr").isEmpty()
+
+
+def test_columns_of_the_user_come_back(spark):
+    """Every name that numbering uses between its steps."""
+    names = ["_tie", "_range", "_read", "_rows", "_before"]
+    df = spark.range(0, 3000, 1, 4).selectExpr("id % 40 AS id", *(f"concat('{n}', id % 40) AS `{n}`" for n in names))
+    numbered = with_row_number(df, ["id"], "nr", rows_per_range=100)
+    assert numbered.columns == ["id", *names, "nr"]
+    assert rows(numbered.select("id", "nr")) == rows(plain(df, ["id"], "nr", 0).select("id", "nr"))
+    assert rows(numbered.drop("nr")) == rows(df)
+
+
+@pytest.mark.parametrize("rows_per_range", [60, 10**6])
+def test_new_rows_are_numbered_after_known_ones(spark, rows_per_range):
+    df = spark.range(0, 1500, 1, 4).selectExpr("CASE WHEN id % 3 > 0 THEN 5000 - id END AS nr", "concat('n', id) AS name")
+    got = number_new_rows(df, "nr", ["name"], rows_per_range=rows_per_range)
+    names = sorted(r["name"] for r in df.where("nr IS NULL").collect())
+    expected = {r["name"]: r["nr"] for r in df.where("nr IS NOT NULL").collect()} | {n: 5000 + i for i, n in enumerate(names)}
+    assert got.columns == df.columns and {r["name"]: r["nr"] for r in got.collect()} == expected
+    assert [r["nr"] for r in number_new_rows(df.where("name = 'n0'"), "nr", ["name"], start=7).collect()] == [7]
+
+
+def test_known_rows_are_not_sorted(spark, tmp_path):
+    spark.range(0, 4000, 1, 4).selectExpr("CASE WHEN id % 50 > 0 THEN id END AS nr", "id AS k").write.parquet(f"{tmp_path}/t")
+    numbered = plan(number_new_rows(spark.read.parquet(f"{tmp_path}/t"), "nr", ["k"], rows_per_range=20))
+    known, fresh = numbered.split("Union")[-1].split("FileScan")[0:2]
+    assert "Sort" not in known.split("+- ")[1] and "isnotnull(nr" in numbered
+
+
+def test_maps_inside_structs_break_ties(spark):
+    df = spark.range(0, 6).selectExpr("1 AS a", "named_struct('m', map('x', id, 'y', id + 1)) AS s")
+    assert sorted(r["nr"] for r in with_row_number(df, ["a"], "nr", rows_per_range=2).collect()) == list(range(6))

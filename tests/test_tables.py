@@ -188,3 +188,49 @@ def test_required_columns_of_a_table(spark, tmp_path):
 def test_latest_rows_of_fixed_width_are_hashed(spark):
     log = commit(spark.range(5).selectExpr("id AS k", "id * 2 AS v"), 0, AT[0], "insert")
     assert "SortAggregate" not in plan(as_of(log, ["k"]))
+
+
+def test_hashes_of_nested_values_do_not_collide(spark):
+    values = [
+        "array('a, b')", "array('a', 'b')", "array('a', NULL)", "array('a', 'null')", "array(NULL)", "array('-')", "array('')",
+        "array()", "CAST(NULL AS array<string>)", "array('1:a')", "array('a', '1:b')", "array('a1:b')",
+    ]
+    arrays = spark.sql(" UNION ALL ".join(f"SELECT CAST({v} AS array<string>) AS v" for v in values))
+    assert with_row_hash(arrays, ["v"]).select("row_key").distinct().count() == len(values)
+    structs = arrays.selectExpr("named_struct('x', v, 'y', 1) AS v").union(arrays.selectExpr("named_struct('x', v, 'y', 2)"))
+    structs = structs.union(spark.sql("SELECT CAST(NULL AS struct<x: array<string>, y: int>) AS v"))
+    assert with_row_hash(structs, ["v"]).select("row_key").distinct().count() == 2 * len(values) + 1
+    maps = spark.sql("SELECT map('a', 1, 'b', 2) AS v UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT map('a', 2, 'b', 1) UNION ALL SELECT map()")
+    assert with_row_hash(maps, ["v"]).select("row_key").distinct().count() == 3
+    binary = spark.sql("SELECT X'FF' AS v UNION ALL SELECT X'FE' UNION ALL SELECT NULL")
+    assert with_row_hash(binary, ["v"]).select("row_key").distinct().count() == 3
+
+
+def test_change_inside_a_nested_value_is_found(spark):
+    df = spark.range(0, 3).selectExpr("id", "named_struct('tags', array('a', 'b'), 'more', map(id, 'x')) AS s")
+    hashed = with_row_hash(df, ["id", "s"])
+    edited = hashed.withColumn("s", F.expr("named_struct('tags', array(if(id = 1, 'a, b', 'a'), 'b'), 'more', map(id, 'x'))"))
+    assert [r["id"] for r in changed_rows(edited, ["id", "s"]).collect()] == [1]
+
+
+def test_append_widens_types_and_fields(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    first = "id int, s struct<a: int, list: array<struct<x: float>>>, m map<string, struct<p: short>>"
+    old = spark.createDataFrame([(1, (1, [(1.5,)]), {"k": (1,)}), (2, None, None)], first)
+    later = "S struct<list: array<struct<y: string, x: double>>, b: string, a: bigint>, id bigint, d date"
+    writes.create(old, path)
+    new = spark.createDataFrame([(([("t", 0.1)], "b", 2**40), 2**33, None), (None, 5, None)], later)
+    writes.append_evolving(new, path)
+    table = writes.read(spark, path)
+    assert table.schema.simpleString() == (
+        "struct<id:bigint,s:struct<a:bigint,list:array<struct<x:double,y:string>>,b:string>,"
+        "m:map<string,struct<p:smallint>>,d:date>"
+    )
+    found = {r["id"]: r for r in table.collect()}
+    assert found[1]["s"].asDict(True) == {"a": 1, "list": [{"x": 1.5, "y": None}], "b": None}
+    assert found[2**33]["s"].asDict(True) == {"a": 2**40, "list": [{"x": 0.1, "y": "t"}], "b": "b"}
+    assert found[2]["s"] is None and found[5]["s"] is None and found[1]["m"]["k"]["p"] == 1
+    for clash in ("id string", "s struct<a: string>", "s struct<list: array<struct<x: int>>>"):
+        with pytest.raises(SchemaMismatch, match="id is|s.a is|s.list.element.x is"):
+            writes.append_evolving(spark.createDataFrame([], clash), path)
+    assert table.count() == 4

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .names import KeySpec, key_pairs, quoted
+from .names import KeySpec, key_pairs, private, quoted
 from .sizing import BROADCAST_BYTES, is_small
 
 
@@ -120,25 +120,36 @@ def interval_join(
     row is in the slot of its start alone. A right row goes to each slot in which an interval that
     holds it can start (two, as a rule). So every pair meets once, and a left row without a partner is
     reported once.
+
+    Whole days of ``length`` are days of the session's calendar, as in Spark's own interval arithmetic, so that
+    an interval over a clock change is an hour longer or shorter than its slot; lengths of a day and more
+    therefore look one slot further back. Both sides may be dates, or timestamps with or without zone; two
+    different ones are compared as timestamps with zone.
     """
-    at = F.col(quoted(instant))
-    slots = F.sequence(_slot(right, instant, at - F.lit(length), length), _slot(right, instant, at, length))
-    placed = left.withColumn("_slot", _slot(left, start, F.col(quoted(start)), length)).alias("l")
-    touched = right.withColumn("_slot", F.explode(slots)).alias("r")
+    kinds = {left.schema[start].dataType, right.schema[instant].dataType}
+    zoned = any(isinstance(k, T.TimestampType) for k in kinds) or (len(kinds) > 1 and T.StringType() in kinds)
+    common = "timestamp" if zoned else "timestamp_ntz"
+    slot = private([*left.columns, *right.columns], "_slot")
+    micros = F.unix_micros if zoned else clock_micros
+
+    def number(moment: Column) -> Column:
+        return F.floor(micros(moment) / F.lit(length // timedelta(microseconds=1)))
+
+    begun, at = F.col(quoted(start)).cast(common), F.col(quoted(instant)).cast(common)
+    further = 1 if zoned and length >= timedelta(days=1) else 0
+    slots = F.sequence(number(at - F.lit(length)) - further, number(at))
+    placed = left.withColumn(slot, number(begun)).alias("l")
+    touched = right.withColumn(slot, F.explode(slots)).alias("r")
+    l_start, r_instant = F.col(f"l.{quoted(start)}"), F.col(f"r.{quoted(instant)}")
+    if len(kinds) > 1 or T.DateType() in kinds:
+        l_start, r_instant = l_start.cast(common), r_instant.cast(common)
     return placed.join(
         touched,
         (F.col(f"l.{quoted(left_key)}") == F.col(f"r.{quoted(right_key)}"))
-        & (F.col("l._slot") == F.col("r._slot"))
-        & within_interval(F.col(f"l.{quoted(start)}"), F.col(f"r.{quoted(instant)}"), length),
+        & (F.col(f"l.{slot}") == F.col(f"r.{slot}"))
+        & within_interval(l_start, r_instant, length),
         how,
-    ).drop("_slot")
-
-
-def _slot(df: DataFrame, column: str, moment: Column, length: timedelta) -> Column:
-    """Number of the slot, on the clock that the column's type keeps."""
-    zone_free = isinstance(df.schema[column].dataType, T.TimestampNTZType)
-    micros = clock_micros(moment) if zone_free else F.unix_micros(moment)
-    return F.floor(micros / F.lit(length // timedelta(microseconds=1)))
+    ).drop(slot)
 
 
 def clock_micros(moment: Column) -> Column:

@@ -26,11 +26,10 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 from .joins import join_members
-from .names import KeySpec, as_expr, find, key_pairs, must_find, quoted
+from .names import KeySpec, as_expr, find, key_pairs, must_find, private, quoted
 from .sizing import BROADCAST_BYTES, all_present, is_small, measure_change_set
 
 ACTION = "_action"
-_MATCH = "_matched_source"
 
 
 class AmbiguousMergeError(ValueError):
@@ -72,8 +71,9 @@ def merge(
 
     Clauses are tried in order and the first whose condition is true applies. Conditions and
     values see the two relations under ``aliases``. ``evolve`` lets the result gain columns that
-    only the change set has. ``with_action`` adds ``_action``: kept, updated or inserted. A change
-    set that is a stored table already needs no ``materialize_source``.
+    only the change set has. ``with_action`` adds ``_action``: kept, updated or inserted; it is refused if the
+    result has a column of that name already. A change set that is a stored table already needs no
+    ``materialize_source``.
     """
     pairs = key_pairs(on, target.columns, source.columns)
     if materialize_source:
@@ -88,12 +88,13 @@ def merge(
     small = size.within(broadcast_bytes)
 
     schema = _result_schema(target, source, matched, not_matched, aliases, evolve)
+    if with_action and find(schema.fieldNames(), ACTION):
+        raise ValueError(f"the table has a column {ACTION} of its own")
     parts = [
-        _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small),
-        *_insert_rows(target, source, keyed, has_key, pairs, not_matched, schema, aliases, evolve, small),
+        _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small, with_action),
+        *_insert_rows(target, source, keyed, has_key, pairs, not_matched, schema, aliases, evolve, small, with_action),
     ]
-    result = reduce(DataFrame.union, parts)
-    return result if with_action else result.drop(ACTION)
+    return reduce(DataFrame.union, parts)
 
 
 def merge_metrics(merged: DataFrame) -> DataFrame:
@@ -159,14 +160,15 @@ def _condition(condition) -> Column:
     return F.lit(True) if condition is None else as_expr(condition)
 
 
-def _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small) -> DataFrame:
+def _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small, with_action) -> DataFrame:
     t, s = aliases
     rows = target.alias(t)
+    found = private(keyed.columns, "_matched_source")
     if matched:
-        changes = keyed.withColumn(_MATCH, F.lit(True))
+        changes = keyed.withColumn(found, F.lit(True))
         changes = F.broadcast(changes) if small else changes
         rows = rows.join(changes.alias(s), _equal(pairs, t, s), "left")
-    present = F.col(f"{s}.{_MATCH}").isNotNull() if matched else F.lit(False)
+    present = F.col(f"{s}.{found}").isNotNull() if matched else F.lit(False)
     clauses = [(_condition(c.condition), _assignments(c.set, schema, keyed, aliases, evolve)) for c in matched]
 
     columns = []
@@ -178,11 +180,11 @@ def _update_rows(target, keyed, pairs, matched, schema, aliases, evolve, small)
             kept = _choose(present, values, kept)
         columns.append(kept.alias(field.name))
     action = _choose(present, [(cond, F.lit("updated")) for cond, _ in clauses], F.lit("kept"))
-    return rows.select(*columns, action.alias(ACTION))
+    return rows.select(*columns, *([action.alias(ACTION)] if with_action else []))
 
 
 def _insert_rows(
-    target, source, keyed, has_key, pairs, not_matched, schema, aliases, evolve, small
+    target, source, keyed, has_key, pairs, not_matched, schema, aliases, evolve, small, with_action
 ) -> list[DataFrame]:
     if not not_matched:
         return []
@@ -204,6 +206,6 @@ def _insert_rows(
         for f in schema.fields
     ]
     return [
-        rows.where(wanted_row).select(*columns, F.lit("inserted").alias(ACTION))
+        rows.where(wanted_row).select(*columns, *([F.lit("inserted").alias(ACTION)] if with_action else []))
         for rows in (new_keys, no_key)
     ]

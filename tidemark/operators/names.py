@@ -19,6 +19,14 @@ def find(columns: Sequence[str], name: str) -> str | None:
     return next((c for c in columns if c.lower() == name.lower()), None)
 
 
+def private(columns: Sequence[str], name: str) -> str:
+    """``name``, or a longer one if it is among the columns (in any case): for columns that an operator needs
+    between two steps and that must not meet one of the user's."""
+    while find(columns, name) is not None:
+        name += "_"
+    return name
+
+
 def must_find(columns: Sequence[str], name: str) -> str:
     found = find(columns, name)
     if found is None:

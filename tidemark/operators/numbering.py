@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .names import quoted
+from .names import private, quoted
+from .rows import canonical, holds_maps
 
 _RANGE = "_range"
-_READ = "_read"
-_TIE = "_tie"
 _SAMPLES_PER_RANGE = 8
 MOST_RANGES = 2**14
 
@@ -41,41 +40,67 @@ def with_row_number(
     ranges. If copies of one row would fill more than a range, the table is first written with a
     number per row as it is read, which parts them; which copy gets which number makes no difference.
     """
-    columns, order = df.columns, [*order, _TIE]
-    df = df.withColumn(_TIE, F.xxhash64(*(_hashable(f) for f in df.schema.fields)))
+    columns = df.columns
+    tie, read, range_, rows, before = (private([*columns, name], n) for n in ("_tie", "_read", _RANGE, "_rows", "_before"))
+    order = [*order, tie]
+    df = df.withColumn(tie, F.xxhash64(*(_hashable(f) for f in df.schema.fields)))
     bounds = _bounds(df, order, rows_per_range, most_ranges)
     if any(low == high for low, high in zip(bounds, bounds[1:])):
-        df = materialize(df.withColumn(_READ, F.monotonically_increasing_id()), "numbering")
-        order.append(_READ)
+        df = materialize(df.withColumn(read, F.monotonically_increasing_id()), "numbering")
+        order.append(read)
         bounds = _bounds(df, order, rows_per_range, most_ranges)
-    numbered = _with_range(df, order, bounds)
-    within = Window.partitionBy(_RANGE).orderBy(*_ascending(order))
+    numbered = _with_range(df, order, bounds, range_)
+    within = Window.partitionBy(range_).orderBy(*_ascending(order))
+    kept = [quoted(c) for c in columns if c.lower() != name.lower()]  # an older number of that name is replaced
     if not bounds:  # one range, whose rows all have the number that the window gives them
         numbered = numbered.withColumn(name, (F.row_number().over(within) + F.lit(start - 1)).cast("long"))
-        return numbered.select(*map(quoted, columns), name)
+        return numbered.select(*kept, quoted(name))
 
-    running = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    running = Window.orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        numbered.groupBy(_RANGE)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(_RANGE, F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_before"))
+        numbered.groupBy(range_)
+        .agg(F.count(F.lit(1)).alias(rows))
+        .select(range_, F.coalesce(F.sum(rows).over(running), F.lit(0)).alias(before))
     )
-    position = F.row_number().over(within) + F.col("_before") + F.lit(start - 1)
+    position = F.row_number().over(within) + F.col(before) + F.lit(start - 1)
     return (
-        numbered.join(F.broadcast(offsets), _RANGE)
+        numbered.join(F.broadcast(offsets), range_)
         .withColumn(name, position.cast("long"))
-        .select(*map(quoted, columns), name)
+        .select(*kept, quoted(name))
     )
 
 
+def number_new_rows(
+    df: DataFrame,
+    name: str,
+    order: Sequence[str],
+    start: int = 0,
+    rows_per_range: int = 50_000,
+    most_ranges: int = MOST_RANGES,
+) -> DataFrame:
+    """Give the rows whose ``name`` is null the numbers after the greatest one, in ascending ``order``.
+
+    Known numbers stay as they are, so nothing that refers to them breaks, and known rows are neither
+    sorted nor shuffled: one aggregate finds their maximum, and only new rows are cut into ranges, counted and
+    numbered from there as in :func:`with_row_number`. An empty table starts at ``start``. ``df`` is read twice.
+    """
+    number = F.col(quoted(name))
+    greatest = df.agg(F.max(number)).first()[0]
+    first = start if greatest is None else greatest + 1
+    fresh = with_row_number(df.where(number.isNull()).drop(name), order, name, first, rows_per_range, most_ranges)
+    kind = df.schema[name].dataType
+    fresh = fresh.select(*(F.col(quoted(c)).cast(kind).alias(c) if c == name else quoted(c) for c in df.columns))
+    return df.where(number.isNotNull()).union(fresh)
+
+
 def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(quoted(c)).asc_nulls_last() for c in order]
 
 
 def _hashable(field: T.StructField) -> Column:
-    """A column as Spark can hash it: a map as its sorted entries."""
+    """A column as Spark can hash it: one with maps, at any depth, as its canonical text."""
     column = F.col(quoted(field.name))
-    return F.to_json(column) if isinstance(field.dataType, (T.MapType, T.VariantType)) else column
+    return canonical(column, field.dataType) if holds_maps(field.dataType) else column
 
 
 def _bounds(df: DataFrame, order: Sequence[str], rows_per_range: int, most_ranges: int = MOST_RANGES) -> list:
@@ -90,13 +115,13 @@ def _bounds(df: DataFrame, order: Sequence[str], rows_per_range: int, most_range
     return [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
 
 
-def _with_range(df: DataFrame, order: Sequence[str], bounds: list) -> DataFrame:
+def _with_range(df: DataFrame, order: Sequence[str], bounds: list, name: str = _RANGE) -> DataFrame:
     """Add how many bounds are at most the row's key, by binary search in their sorted array.
 
     Keys are compared as structs; since a null sorts first there, each value is preceded by
     whether it is null.
     """
-    ranged = df.withColumn(_RANGE, F.lit(0))
+    ranged = df.withColumn(name, F.lit(0))
     if not bounds:
         return ranged
     fields = [df.schema[c] for c in order]
@@ -114,6 +139,6 @@ def _with_range(df: DataFrame, order: Sequence[str], bounds: list) -> DataFrame:
         key.append(F.col(quoted(field.name)).isNull().alias(f"is_null_{i}"))
         key.append(F.col(quoted(field.name)).alias(f"value_{i}"))
     for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
-        reached = F.element_at(table, F.col(_RANGE) + step) <= F.struct(*key)
-        ranged = ranged.withColumn(_RANGE, F.col(_RANGE) + F.when(reached, step).otherwise(0))
+        reached = F.element_at(table, F.col(name) + step) <= F.struct(*key)
+        ranged = ranged.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
     return ranged
