@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,6 +102,13 @@ def merge_metrics(merged: DataFrame) -> DataFrame:
     return merged.groupBy(F.col(ACTION).alias("action")).agg(F.count(F.lit(1)).alias("num_rows"))
 
 
+def observed(merged: DataFrame, counts: Observation) -> DataFrame:
+    """A merge made with ``with_action=True`` whose actions are counted by the job that writes it; ``counts.get``
+    then has the rows ``updated``, ``inserted`` and ``kept``. The merge is not evaluated again for them."""
+    each = (F.count(F.when(F.col(ACTION) == a, 1)).alias(a) for a in ("updated", "inserted", "kept"))
+    return merged.observe(counts, *each)
+
+
 def reject_shared_matches(target: DataFrame, keyed: DataFrame, pairs: list[tuple[str, str]]) -> None:
     """Raise if a key that the change set repeats occurs in the target."""
     repeated = keyed.groupBy(*(quoted(b) for _, b in pairs)).count().where("count > 1").drop("count")

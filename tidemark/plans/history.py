@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.schema import union_evolving
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
-from ..operators.versions import as_of, commit, commit_merge, history
-from ..session import materialize
+from ..operators.versions import append_commit, as_of, commit, commit_merge, history, state_at, write_snapshot
+from ..session import materialize, new_path
 from ..sources.files import table
 from .registry import query
 
@@ -85,6 +85,29 @@ def change_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(_change_log(spark, sf_dir))
 
 
+def _stored_log(spark: SparkSession, sf_dir: str) -> str:
+    """The commits of the change log in folders of their own, with a snapshot after the third."""
+    root, log = new_path(spark, "order-log"), materialize(_change_log(spark, sf_dir), "log")
+    for version, committed in enumerate(_COMMITS):
+        append_commit(log.where(F.col("_version") == version), root, version, committed)
+        if version == 2:
+            write_snapshot(spark, root, ["o_orderkey"], version)
+    return root
+
+
+@query("as_of_snapshot", _as_of_sql("TRUE"))
+def as_of_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last version, from the snapshot before it and one commit."""
+    return state_at(spark, _stored_log(spark, sf_dir), ["o_orderkey"])
+
+
+@query("as_of_snapshot_timestamp", _as_of_sql("ts <= TIMESTAMP '2024-03-15'"))
+def as_of_snapshot_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A moment with a zone, in which it is still the day before; the snapshot alone answers."""
+    moment = datetime(2024, 3, 14, 22, tzinfo=timezone(timedelta(hours=-2)))
+    return state_at(spark, _stored_log(spark, sf_dir), ["o_orderkey"], timestamp=moment)
+
+
 _MERGE_LOG_SQL = """
 WITH changes AS (
   SELECT CASE WHEN o_orderstatus = 'P' THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey,

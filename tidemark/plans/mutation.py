@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import WhenMatched, WhenNotMatched, merge, merge_metrics
+from ..operators.merge import WhenMatched, WhenNotMatched, merge, merge_metrics, observed
 from ..operators.mutate import delete_all, delete_where, update_where
 from ..operators.rows import changed_rows, hash_of, with_row_hash, with_tracking
 from ..operators.versions import read_version, write_version
-from ..session import new_path
+from ..session import materialize, new_path
 from ..sources.files import table
 from .registry import dates_as_text, query
 
@@ -77,6 +77,19 @@ UNION ALL SELECT 'kept', (SELECT COUNT(*) FROM tgt) - n FROM matched
 UNION ALL SELECT 'inserted', (SELECT COUNT(*) FROM src) - n FROM matched""",
 )
 def upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted by the job that writes the merged table."""
+    counts = Observation("upsert")
+    materialize(observed(_upsert(spark, sf_dir), counts), "upserted")
+    return spark.createDataFrame(list(counts.get.items()), "action string, num_rows long")
+
+
+@query("merge_actions", f"""{_UPSERT_SQL}, acted AS (
+  SELECT CASE WHEN s.p_partkey IS NULL THEN 'kept' WHEN t.p_partkey IS NULL THEN 'inserted' ELSE 'updated' END AS action
+  FROM tgt t FULL JOIN src s ON s.p_partkey = t.p_partkey AND s.p_type = t.p_type
+)
+SELECT action, COUNT(*) AS num_rows FROM acted GROUP BY action""")
+def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a query over the merge."""
     return merge_metrics(_upsert(spark, sf_dir))
 
 
@@ -145,6 +158,19 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", hash_of(_HASHED).alias("row_key"))
 
 
+@query(
+    "row_hash_nested",
+    """WITH t AS (SELECT p_partkey, p_name AS n, CAST(p_size AS VARCHAR) AS s, p_brand AS b, p_type AS y FROM part)
+SELECT p_partkey, sha256('s' || COALESCE(length(n) || ':' || n, '-') || COALESCE(length(s) || ':' || s, '-')
+  || 'a2:' || COALESCE(length(b) || ':' || b, '-') || COALESCE(length(y) || ':' || y, '-')) AS row_key FROM t""",
+)
+def row_hash_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash of a struct and an array, by their canonical texts."""
+    part = table(spark, sf_dir, "part")
+    nested = part.select("p_partkey", F.struct("p_name", "p_size").alias("label"), F.array("p_brand", "p_type").alias("kinds"))
+    return with_row_hash(nested, ["label", "kinds"]).select("p_partkey", "row_key")
+
+
 @query(
     "tracking_columns",
     f"""SELECT *, {_hash_sql()} AS row_key, TRUE AS is_current, CAST(NULL AS VARCHAR) AS end_date,

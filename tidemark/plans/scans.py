@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_path
 from ..sources.catalog import current_database, literal_rows
 from ..sources.files import date_in_path, read_csv, read_csv_strings, read_json, table
+from .catalogs import catalog_table
 from .registry import dates_as_text, query
 
 
@@ -128,11 +127,8 @@ def file_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("catalog_scan", "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey")
 def catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog table, found by its unqualified name in the current database."""
-    database = f"scd_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_path(spark, database)}'")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    customer.write.saveAsTable(f"{database}.customer_dimension")
-    with current_database(spark, database):
+    with catalog_table(customer, "customer_dimension") as name, current_database(spark, name.split(".")[0]):
         return spark.table("customer_dimension").orderBy("c_custkey")
 
 

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..operators import scd2
 from ..operators.joins import anti_join
 from ..operators.merge import WhenMatched, WhenNotMatched, merge
-from ..operators.numbering import with_row_number
+from ..operators.numbering import number_new_rows, with_row_number
+from ..operators.scd2_history import apply_history, merge_history
 from ..operators.writes import replace_table
 from ..session import materialize
+from ..sources.files import table
 from .catalogs import catalog_table
 from .inputs import (
     DIMENSION_SQL,
@@ -30,6 +32,99 @@ from .registry import dates_as_text, query
 
 _KEY = "c_custkey"
 
+# --- several updates of a key, and late ones --------------------------------------------------
+
+
+def _history_sql(updates_sql: str) -> str:
+    """Changes at any time, without gaps in the dimension: every change point of a key once more in order."""
+    return f"""
+WITH {DIMENSION_SQL}, upd AS ({updates_sql}),
+points AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, effective_date, end_date, 0 AS u FROM dim
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, effective_date, NULL, 1 FROM upd),
+told AS (
+  SELECT *, LAG(c_nationkey) OVER k AS old_nation, LAG(c_mktsegment) OVER k AS old_segment, COUNT(*) OVER k AS nth,
+    MAX(CASE WHEN u = 0 THEN effective_date END) OVER k AS held_from
+  FROM points WINDOW k AS (PARTITION BY c_custkey ORDER BY effective_date, u ROWS UNBOUNDED PRECEDING)),
+kept AS (SELECT * FROM told WHERE u = 0 OR nth = 1 OR c_nationkey IS DISTINCT FROM old_nation OR c_mktsegment IS DISTINCT FROM old_segment),
+ended AS (
+  SELECT k.*, LEAD(k.effective_date) OVER (PARTITION BY k.c_custkey ORDER BY k.effective_date, k.u) AS next
+  FROM kept k)
+SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(effective_date AS VARCHAR) AS effective_date,
+  CAST(COALESCE(next, end_date) AS VARCHAR) AS end_date, COALESCE(next, end_date) IS NULL AS is_current
+FROM ended"""
+
+
+_CHAIN_SQL = _history_sql("""
+  SELECT c_custkey, c_name, c_nationkey, 'FIRST' AS c_mktsegment, DATE '2000-01-01' AS effective_date FROM customer WHERE c_acctbal < 3000
+  UNION ALL SELECT c_custkey, c_name, c_nationkey + 1, 'FIRST', DATE '2001-06-01' FROM customer WHERE c_acctbal < 2000
+  UNION ALL SELECT c_custkey, c_name, c_nationkey + 1, CASE WHEN c_acctbal < 0 THEN NULL ELSE 'FIRST' END, DATE '2002-01-01'
+  FROM customer WHERE c_acctbal < 2000
+  UNION ALL SELECT -1 - c_custkey, c_name, c_nationkey, 'NEW', DATE '2000-01-01' FROM customer WHERE c_acctbal >= 9000
+  UNION ALL SELECT -1 - c_custkey, c_name, c_nationkey, 'NEWER', DATE '2000-02-01' FROM customer WHERE c_acctbal >= 9000""")
+
+
+def _chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to three updates a key, of which some repeat what is in force; two for each new key."""
+    customer = table(spark, sf_dir, "customer")
+
+    def rows(condition, segment, start, key="c_custkey", nation="c_nationkey"):
+        return customer.where(condition).select(
+            F.expr(key).alias("c_custkey"), "c_name", F.expr(nation).alias("c_nationkey"), F.expr(segment).alias("c_mktsegment"), date(start).alias("effective_date")
+        )
+
+    return (
+        rows("c_acctbal < 3000", "'FIRST'", "2000-01-01")
+        .union(rows("c_acctbal < 2000", "'FIRST'", "2001-06-01", nation="c_nationkey + 1"))
+        .union(rows("c_acctbal < 2000", "if(c_acctbal < 0, NULL, 'FIRST')", "2002-01-01", nation="c_nationkey + 1"))
+        .union(rows("c_acctbal >= 9000", "'NEW'", "2000-01-01", "-1 - c_custkey"))
+        .union(rows("c_acctbal >= 9000", "'NEWER'", "2000-02-01", "-1 - c_custkey"))
+    )
+
+
+@query("scd2_chain", _CHAIN_SQL)
+def scd2_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several updates a key in one change set, spliced onto the open version."""
+    return dates_as_text(apply_history(dimension(spark, sf_dir), _chain(spark, sf_dir), _KEY, TRACKED))
+
+
+@query("scd2_chain_merge", _CHAIN_SQL)
+def scd2_chain_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a staged merge."""
+    return dates_as_text(merge_history(dimension(spark, sf_dir), _chain(spark, sf_dir), _KEY, TRACKED))
+
+
+_BACKDATED_SQL = _history_sql("""
+  SELECT c_custkey, c_name, c_nationkey, 'LATE' AS c_mktsegment, DATE '1992-07-01' AS effective_date FROM customer WHERE c_acctbal >= 4000
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, c_mktsegment, DATE '1994-01-01' FROM customer WHERE c_acctbal >= 6000
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, 'FIRST OF ALL', DATE '1985-01-01' FROM customer WHERE c_acctbal >= 7000
+  UNION ALL SELECT c_custkey, c_name, c_nationkey, 'CORRECTED', DATE '1995-01-01' FROM customer WHERE c_acctbal >= 8000""")
+
+
+def _backdated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates from before the open version: into a closed one, before all versions, and at a version's start."""
+    customer = table(spark, sf_dir, "customer")
+
+    def rows(least, segment, start):
+        columns = ("c_custkey", "c_name", "c_nationkey", F.expr(segment).alias("c_mktsegment"), date(start).alias("effective_date"))
+        return customer.where(F.col("c_acctbal") >= least).select(*columns)
+
+    first, second = rows(4000, "'LATE'", "1992-07-01"), rows(6000, "c_mktsegment", "1994-01-01")
+    return first.union(second).union(rows(7000, "'FIRST OF ALL'", "1985-01-01")).union(rows(8000, "'CORRECTED'", "1995-01-01"))
+
+
+@query("scd2_backdated", _BACKDATED_SQL)
+def scd2_backdated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late updates split the version that holds their date."""
+    return dates_as_text(apply_history(dimension(spark, sf_dir), _backdated(spark, sf_dir), _KEY, TRACKED))
+
+
+@query("scd2_backdated_merge", _BACKDATED_SQL)
+def scd2_backdated_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by a staged merge."""
+    return dates_as_text(merge_history(dimension(spark, sf_dir), _backdated(spark, sf_dir), _KEY, TRACKED))
+
+
 _CHANGED_SQL = """
 changed AS (
   SELECT DISTINCT u.* FROM upd u JOIN dim d ON u.c_custkey = d.c_custkey
@@ -273,6 +368,19 @@ def _renumbered(merged: DataFrame) -> DataFrame:
     return numbered.withColumn("id", F.col("new_id")).drop("new_id")
 
 
+@query(
+    "number_new_ids",
+    f"""WITH {SURROGATE_SQL}
+SELECT COALESCE(id, (SELECT MAX(id) FROM merged) + ROW_NUMBER() OVER (PARTITION BY id IS NULL ORDER BY c_custkey)) AS id,
+       c_custkey, c_name, c_mktsegment, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date
+FROM merged""",
+)
+def number_new_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known ids stay; new versions get the ones after the greatest, by business key."""
+    merged = materialize(_merged_by_surrogate(spark, sf_dir), "merged")
+    return dates_as_text(number_new_rows(merged, "id", [_KEY], rows_per_range=ROWS_PER_RANGE))
+
+
 @query("renumber_ids", _RENUMBERED_SQL)
 def renumber_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged dimension, written once and numbered anew."""

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import writes
+from ..operators.merge import WhenMatched, WhenNotMatched
+from ..operators.merge_table import merge_table
 from ..operators.numbering import with_row_number
 from ..operators.schema import SchemaMismatch, enforce
-from ..session import new_path
+from ..session import materialize, new_path
 from ..sources.files import table
 from .catalogs import catalog_table
 from .inputs import ROWS_PER_RANGE
@@ -110,6 +112,61 @@ def append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return writes.read(spark, path)
 
 
+@query(
+    "append_evolve_nested",
+    f"""SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS customer, CAST(NULL AS VARCHAR) AS priority, o_totalprice AS price
+FROM orders WHERE {_OLD}
+UNION ALL
+SELECT o_orderkey, o_custkey * 10000000000, o_orderpriority, o_totalprice FROM orders WHERE {_NEW}""",
+)
+def append_evolve_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The appended rows bring a field of a nested column, in another order, and a wider number."""
+    path = new_path(spark, "evolving-nested")
+    old, new = _orders(spark, sf_dir, _OLD), _orders(spark, sf_dir, _NEW)
+    customer = F.col("o_custkey").cast("int").alias("customer")
+    writes.create(old.select("o_orderkey", F.struct(customer, F.col("o_totalprice").alias("price")).alias("detail")), path)
+    wide = (F.col("o_custkey") * 10_000_000_000).alias("customer")
+    detail = F.struct(F.col("o_totalprice").alias("price"), F.col("o_orderpriority").alias("priority"), wide)
+    writes.append_evolving(new.select(detail.alias("detail"), "o_orderkey"), path)
+    return writes.read(spark, path).select("o_orderkey", "detail.customer", "detail.priority", "detail.price")
+
+
+_BY_PRIORITY = [*_COLUMNS, "o_orderpriority"]
+
+
+@query(
+    "replace_partitioned",
+    """SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN '0-NOW' ELSE o_orderpriority END AS o_orderpriority
+FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderpriority IS NULL""",
+)
+def replace_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replace a partitioned catalog table by a query over itself: one partition goes, one changes its name."""
+    orders = table(spark, sf_dir, "orders").select(_BY_PRIORITY)
+    with catalog_table(orders, "orders_by_priority", ["o_orderpriority"]) as name:
+        kept = spark.table(name).where("o_orderpriority <> '5-LOW' OR o_orderpriority IS NULL")
+        renamed = F.when(F.col("o_orderpriority") == "1-URGENT", "0-NOW").otherwise(F.col("o_orderpriority"))
+        writes.replace_table(kept.select(*_COLUMNS[:2], F.col("o_totalprice") + 1, renamed), name)
+        return materialize(spark.table(name), "replaced-rows")
+
+
+@query(
+    "merge_touched_partitions",
+    """SELECT o_orderkey, o_custkey, o_totalprice + CASE WHEN o_orderpriority = '2-HIGH' AND o_orderstatus = 'O' THEN 10 ELSE 0 END
+  AS o_totalprice, o_orderpriority FROM orders
+UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice, '6-NEW' FROM orders WHERE o_orderstatus = 'P'""",
+)
+def merge_touched_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Updates in one partition and rows for a new one; the other partitions are not rewritten."""
+    orders = table(spark, sf_dir, "orders")
+    dearer = orders.where("o_orderpriority = '2-HIGH' AND o_orderstatus = 'O'").withColumn("o_totalprice", F.col("o_totalprice") + 10)
+    new = orders.where("o_orderstatus = 'P'").withColumns({"o_orderkey": -F.col("o_orderkey"), "o_orderpriority": F.lit("6-NEW")})
+    changes = dearer.select(_BY_PRIORITY).union(new.select(_BY_PRIORITY))
+    with catalog_table(orders.select(_BY_PRIORITY), "orders_by_priority", ["o_orderpriority"]) as name:
+        merge_table(changes, name, "o_orderkey", [WhenMatched()], [WhenNotMatched()])
+        return materialize(spark.table(name), "merged-rows")
+
+
 @query(
     "insert_overwrite",
     """SELECT ROW_NUMBER() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS id, c_custkey, c_name, c_acctbal
