@@ -1,8 +1,9 @@
 """The corpus pipeline: each stage applies one operator to all documents that its predecessor kept.
 
 ``run`` writes the result of each stage to the shared folder and reads it back, so a lost executor costs a
-part of one stage only. All stages but the last return the columns of ``documents``. Null texts pass as
-empty ones, and an empty table passes through all stages.
+part of one stage only. All stages but the last return the columns of ``documents`` as they are, whatever their names.
+Null texts pass as empty ones, very long ones are processed whole, ties are broken by hashes of text and row, repeated rows are
+near duplicates of each other, and an empty table passes through all stages.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, mixing, quality, sharding, simhash
-from tidemark.llm.text import table
+from tidemark.llm.text import private, table
 from tidemark.session import materialize
 
 QUALITY = 0.3
@@ -38,9 +39,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, up to three times, or not at all."""
-    mixed = mixing.mix(docs)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return mixed.filter("copies > 0").select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*columns)
+    own = private(docs, "own_copies")  # a column of the user that has the name of the operator's
+    renamed = docs.toDF(*(own if c.lower() == "copies" else c for c in docs.columns))
+    columns = [F.col(f"`{c}`") for c in renamed.columns]
+    mixed = mixing.mix(renamed).filter("copies > 0")
+    return mixed.select(*columns, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select(*columns).toDF(*docs.columns)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
