@@ -135,3 +135,13 @@ def test_clicks_on_rate_streams(spark):
 def test_random_click_sample_is_a_streaming_filter(spark):
     sampled = rate(spark).where((F.rand() * 100).cast("int") < 10)
     assert sampled.isStreaming and sampled.columns == ["timestamp", "value"]
+
+
+def test_late_rows_in_several_batches(spark):
+    """Six batches in order and one of late rows; state stays below the table."""
+    from tidemark.plans.streams import run_late
+
+    sf_dir = "/root/testdata/sf0.01"
+    run = run_late(spark, sf_dir)
+    assert run.batches == 7 and run.dropped > 0
+    assert run.most_state < spark.read.parquet(f"{sf_dir}/events.parquet").count() / 2

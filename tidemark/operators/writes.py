@@ -144,7 +144,7 @@ def replace_partitions(rows: DataFrame, table: str, before: Sequence[Row] = ())
     partitions = partition_columns(spark, table)
     after = {tuple(r) for r in rows.select(*map(quoted, partitions)).distinct().collect()}  # a row per partition
     spread = rows.hint("rebalance", *(F.col(quoted(c)) for c in partitions))
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # an option of the writer does not reach insertInto
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):  # an option of the writer does not reach insertInto
         spread.write.mode("overwrite").insertInto(catalog_name(table))
     for gone in {tuple(r) for r in before} - after:
         given = ", ".join(f"{quoted(c)} = {_sql_literal(v)}" for c, v in zip(partitions, gone))
@@ -153,7 +153,8 @@ def replace_partitions(rows: DataFrame, table: str, before: Sequence[Row] = ())
 
 
 @contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a write."""
     before = spark.conf.get(name, None)
     spark.conf.set(name, value)
     try:

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..streaming.ads import CLICK_DELAY, CLICK_LAG, IMPRESSION_DELAY, occurrences
-from ..streaming.joins import join_in_range, join_on_key
-from ..streaming.sinks import run_available
-from ..streaming.sources import parquet_table
+from ..operators.joins import clock_micros
+from ..session import materialize
+from ..sources.files import table
+from ..streaming.joins import event_time, join_in_range, join_on_key
+from ..streaming.sinks import Run, run_available, run_batches
+from ..streaming.sources import parquet_table, replayed
 from .registry import query
 
 _STREAMS_SQL = f"""
@@ -100,3 +103,35 @@ def stream_join_left_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Also impressions without a click, once the watermark says that none can come; those still
     open at the end of the input stay in state."""
     return _joined_in_range(spark, sf_dir, "leftOuter", "outer")
+
+
+# --- several micro-batches, with rows that come too late ----------------------------------------
+
+_ORDERED_BATCHES = 6
+
+
+def run_late(spark: SparkSession, sf_dir: str) -> Run:
+    """Events by hour and type, replayed in the order of their time in six micro-batches. Errors of the first half come in a
+    seventh, when their hours are closed."""
+    events = table(spark, sf_dir, "events").select("ts", "event_type").withColumn("micros", clock_micros(F.col("ts")))
+    events = materialize(events, "events")
+    first, last = events.agg(F.min("micros"), F.max("micros")).first()
+    late = (F.col("event_type") == "error") & (2 * F.col("micros") < first + last)
+    ordered = F.floor((F.col("micros") - first) * _ORDERED_BATCHES / (last - first + 1))
+    stream = replayed(events, F.when(late, _ORDERED_BATCHES).otherwise(ordered), _ORDERED_BATCHES + 1)
+    timed = event_time(stream, "ts", "1 hour")
+    counts = timed.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("num_events"))
+    return run_batches(counts.select(F.col("w.start").alias("hour"), "event_type", "num_events"), "late")
+
+
+@query(
+    "stream_late_rows",
+    """WITH span AS (SELECT epoch_us(MIN(ts)) + epoch_us(MAX(ts)) AS ends FROM events),
+on_time AS (SELECT ts, event_type FROM events, span WHERE NOT (event_type = 'error' AND 2 * epoch_us(ts) < ends) OR event_type IS NULL)
+SELECT date_trunc('hour', ts) AS hour, event_type, COUNT(*) AS num_events FROM on_time
+GROUP BY date_trunc('hour', ts), event_type
+HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM on_time) - INTERVAL 1 HOUR""",
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed hours without the rows that came after the watermark."""
+    return _without_zone(run_late(spark, sf_dir).table)

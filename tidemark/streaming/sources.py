@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..session import new_path
 from ..sources.files import table
 
 
@@ -17,6 +18,16 @@ def rate(spark: SparkSession, rows_per_second: int = 5, partitions: int = 1) ->
     )
 
 
+def replayed(rows: DataFrame, batch: Column, batches: int, files: int = 1) -> DataFrame:
+    """A stored table as a stream that brings the rows of ``batch`` 0, 1 and so on, ``files`` files each, in one micro-batch
+    after the other: an order of arrival that file listings alone do not keep."""
+    spark = rows.sparkSession
+    path = new_path(spark, "replayed")
+    for i in range(batches):
+        rows.where(batch == i).repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def parquet_table(
     spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
