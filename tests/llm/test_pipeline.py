@@ -91,4 +91,6 @@ def test_awkward_and_empty_documents(spark, kind):
         columns = docs.columns
         docs = materialize(stage(spark, docs, SF_DIR), name)
         assert set(columns) <= set(docs.columns)
+        if kind == "awkward":
+            assert [r[0] for r in docs.select("copies").distinct().collect()] == ["copies"], name
     assert docs.isEmpty() == (kind == "empty")
