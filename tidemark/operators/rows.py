@@ -74,6 +74,11 @@ def with_tracking(df: DataFrame) -> DataFrame:
     )
 
 
+def with_editor(df: DataFrame, name: str = "edited_by") -> DataFrame:
+    """Add the user of the session, as the last editor of every row."""
+    return df.withColumn(name, F.current_user())
+
+
 def sample_by_key(df: DataFrame, key: str, percent: int) -> DataFrame:
     """About ``percent`` of 100 rows, chosen by a hash of the key: the same rows on every run and
     after every retry."""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import WhenMatched, WhenNotMatched, merge, merge_metrics, observed
 from ..operators.mutate import delete_all, delete_where, update_where
-from ..operators.rows import changed_rows, hash_of, with_row_hash, with_tracking
+from ..operators.rows import changed_rows, hash_of, with_editor, with_row_hash, with_tracking
 from ..operators.versions import read_version, write_version
 from ..session import materialize, new_path
 from ..sources.files import table
@@ -158,6 +158,14 @@ def row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", hash_of(_HASHED).alias("row_key"))
 
 
+@query("edited_by_user", "SELECT p_partkey, TRUE AS by_session_user FROM part")
+def edited_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with the session's user, compared with it, since names differ by session."""
+    stamped = with_editor(table(spark, sf_dir, "part"))
+    user = spark.sql("SELECT current_user()").first()[0]
+    return stamped.select("p_partkey", (F.col("edited_by") == user).alias("by_session_user"))
+
+
 @query(
     "row_hash_nested",
     """WITH t AS (SELECT p_partkey, p_name AS n, CAST(p_size AS VARCHAR) AS s, p_brand AS b, p_type AS y FROM part)
