@@ -12,13 +12,14 @@ from .registry import dates_as_text, query
 
 @query(
     "case_when",
-    """SELECT p_partkey, CASE WHEN p_partkey = 12 THEN 'none' ELSE p_brand END AS p_brand,
+    """SELECT p_partkey, CASE WHEN p_type = 'PROMO' AND p_size < 5 THEN 'small promo' ELSE p_brand END AS p_brand,
   CASE WHEN p_size > 30 THEN 'big' WHEN p_size > 10 THEN 'middle' END AS class
 FROM part""",
 )
 def case_when(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A value replaced in one row, and a chain without default."""
-    brand = F.when(F.col("p_partkey") == F.lit(12), F.lit("none")).otherwise(F.col("p_brand"))
+    """A value replaced in some rows, and a chain without default."""
+    small_promo = (F.col("p_type") == "PROMO") & (F.col("p_size") < 5)
+    brand = F.when(small_promo, "small promo").otherwise(F.col("p_brand"))
     size_class = F.when(F.col("p_size") > 30, "big").when(F.col("p_size") > 10, "middle")
     return table(spark, sf_dir, "part").select(
         "p_partkey", brand.alias("p_brand"), size_class.alias("class")
