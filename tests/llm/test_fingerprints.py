@@ -6,11 +6,10 @@ import brute
 from tidemark.llm import fingerprints as fp
 
 
-def test_edits_neighbours_and_likeness(spark, monkeypatch):
-    monkeypatch.setattr(fp, "ROWS_PER_RANGE", 10)
+def test_edits_neighbours_and_likeness(spark):
     docs = [(i * 3 - 50, brute.prose(i // 2, 20 + i % 30)) for i in range(60)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    found = {r["id"]: r for r in fp.compare_with_edits(df).collect()}
+    found = {r["id"]: r for r in fp.compare_with_edits(df, rows_per_range=10).collect()}
     docs.sort(reverse=True)
     errors, texts = [], {}
     for (i, text), (_, following) in zip(docs, docs[1:] + docs[:1]):
@@ -50,6 +49,33 @@ def test_one_row_and_texts_without_words(spark):
     assert (found[2]["near_next"], found[3]["near_next"]) == (1.0, 0.0)
 
 
+def _check_ring(rows, found):
+    """Each row's next text is that of the next row in descending order of id and hash, the last one's the first's."""
+    assert len(found) == len(rows)
+    expected = sorted(rows, key=lambda r: (r["id"] is not None, r["id"] or type(rows[0]["id"])(), r["tie"]), reverse=True)
+    nexts = sorted((repr(a["id"]), a["text"], b["text"]) for a, b in zip(expected, expected[1:] + expected[:1]))
+    assert sorted((repr(r["id"]), r["text"], r["next"]) for r in found) == nexts
+
+
+def test_rows_of_one_id_are_spread(spark):
+    """A third of all rows under one id; ids of other types; null ids."""
+    rows = [(7 if i % 3 == 0 else i, f"text {i}") for i in range(900)] + [(None, "x"), (None, "y")]
+    for kind in ("long", "string"):
+        df = spark.createDataFrame(rows, "id long, text string").selectExpr(f"cast(id AS {kind}) AS id", "text").repartition(4)
+        beside = fp.neighbours(df, "id", "text", 50)
+        sizes = [r["count"] for r in beside.groupBy("range").count().collect()]
+        assert len(sizes) > 10 and max(sizes) < 250
+        _check_ring(df.selectExpr("*", "xxhash64(text) AS tie").collect(), beside.where("guest = 0").collect())
+
+
+def test_copies_of_one_row_are_spread(spark):
+    rows = [(1, "same text")] * 600 + [(i, f"text {i}") for i in range(2, 302)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(4)
+    beside = fp.neighbours(df, "id", "text", 50)
+    assert max(r["count"] for r in beside.groupBy("range").count().collect()) < 250
+    _check_ring(df.selectExpr("*", "xxhash64(text) AS tie").collect(), beside.where("guest = 0").collect())
+
+
 def test_awkward_rows(spark):
     df = brute.awkward(spark)
     assert fp.compare_with_edits(df).count() == df.count()

@@ -10,12 +10,13 @@ greater counts), so the share of equal draws estimates it; its standard error is
 stand for the draw.
 
 ``neighbours`` puts each row beside its next one in descending order of the id without a global
-window: rows are dealt by ranges of the id, and the first row of each range also goes, as a guest, to the
-end of the range before it.
+window: rows are dealt by ranges of the id and a hash of the text, and the first row of each range also goes, as
+a guest, to the end of the range before it. A range that outgrows memory, beyond ``MOST_RANGES`` of them, is
+sorted on disk.
 
 Defined results: a null text is empty; a text without words draws nothing, and all such texts have one
-fingerprint, unlike any other; null ids come last, rows with one id by a hash of the text; a single row is
-its own neighbour; equal rows are kept; an empty table gives an empty result.
+fingerprint, unlike any other; ids are of any type that has an order; null ids come last, rows with one id by a
+hash of the text; a single row is its own neighbour; equal rows are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,13 +27,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.numbering import _bounds, _with_range
+from ..session import materialize
+
 SAMPLES = 64
 AT_ONCE = 8
 ROWS_PER_RANGE = 1000
 MOST_RANGES = 2**14
 
-_LEAST_ID = -(2**63)
-
 
 def _gamma_quantile(p: float) -> float:
     """Where the distribution function of Gamma(2, 1), 1 - (1 + x) exp(-x), is ``p``."""
@@ -118,47 +120,43 @@ def likeness(one: Column, other: Column) -> Column:
     return F.size(same) / F.size(one)
 
 
-def _with_range(df: DataFrame, bounds: Sequence[int]) -> DataFrame:
-    """Add ``range``: how many bounds are at most ``key``, by binary search in a constant array."""
-    table = F.array(*(F.lit(b) for b in bounds)) if bounds else F.array().cast("array<long>")
-    df = df.withColumn("bounds", table).withColumn("range", F.lit(0))
-    for step in (1 << i for i in reversed(range(len(bounds).bit_length()))):
-        reached = F.get("bounds", F.col("range") + (step - 1)) <= F.col("key")
-        df = df.withColumn("range", F.col("range") + F.when(reached, step).otherwise(0))
-    return df.drop("bounds")
-
-
 def neighbours(docs: DataFrame, ident: str, text: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Rows (range, place, guest, id, text, next): each text with the next one, dealt by range.
 
-    ``place`` numbers the rows of a range; guests come last and are there for the row before them.
+    ``place`` numbers the rows of a range; guests come last and are there for the row before them. Ranges are
+    cut by id and hash of the text, so rows that share an id are spread too; if copies of one row would
+    fill more than a range, the rows are first written with the order in which they were read.
     """
-    key = F.coalesce(F.col(ident).cast("long"), F.lit(_LEAST_ID))
-    ids = docs.select(key.alias("key"))
-    rows = ids.count()
-    ranges = min(MOST_RANGES, max(1, -(-rows // rows_per_range)))
-    points = [i / ranges for i in range(1, ranges)]
-    bounds = ids.agg(F.percentile_approx("key", points, 10 * max(ranges, 1000))).first()[0] if points and rows else []
-    bounds = sorted(set(bounds or []))
-    keyed = docs.select(F.col(ident).alias("id"), key.alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    keyed = _with_range(keyed, bounds)
-
-    firsts = _with_range(ids, bounds).groupBy("range").agg(F.max("key")).collect()  # at most MOST_RANGES
-    firsts = sorted((tuple(r) for r in firsts), reverse=True)
-    hosts = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}  # the last range hosts the first row
-    if hosts:
-        cells = ", ".join(f"({k if k > _LEAST_ID else 'CAST(-9223372036854775808 AS BIGINT)'}{'L' if k > _LEAST_ID else ''}, {r})" for k, r in hosts.items())
-        guests = docs.sparkSession.sql(f"SELECT * FROM VALUES {cells} AS guests(first, host)")
-        seats = F.when(F.col("host").isNull(), F.array(F.struct("range", F.lit(0).alias("guest")))).otherwise(
-            F.array(F.struct("range", F.lit(0).alias("guest")), F.struct(F.col("host").alias("range"), F.lit(1).alias("guest")))
-        )
-        keyed = keyed.join(F.broadcast(guests), F.col("key") == F.col("first"), "left").select(
-            "id", "key", "text", F.inline(seats)
-        )
-    else:
-        keyed = keyed.withColumn("guest", F.lit(0))
-    in_order = Window.partitionBy("range").orderBy("guest", F.col("key").desc(), F.xxhash64("text"), "text", "id")
-    return keyed.select(
+    order = ["known", "id", "tie"]
+    rows = docs.select(
+        F.col(ident).isNotNull().alias("known"),
+        F.col(ident).alias("id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+    )
+    keys = materialize(rows.select(*order), "fingerprint-keys")
+    bounds = _bounds(keys, order, rows_per_range, MOST_RANGES)
+    if any(low == high for low, high in zip(bounds, bounds[1:])):
+        rows = materialize(rows.withColumn("read", F.monotonically_increasing_id()), "fingerprint-rows")
+        order.append("read")
+        keys = rows.select(*order)
+        bounds = _bounds(keys, order, rows_per_range, MOST_RANGES)
+    key = F.struct(*order)
+    firsts = _with_range(keys, order, bounds, "range").groupBy("range").agg(F.max(key).alias("first"))
+    every = Window.orderBy("range")  # at most MOST_RANGES rows; the last range's first row is hosted by range 0
+    host = F.coalesce(F.lead("range").over(every), F.first("range").over(every))
+    hosts = materialize(firsts.select("range", "first", host.alias("host")), "fingerprint-hosts")
+    seat = lambda of, guest: F.struct(F.col(of).alias("range"), F.lit(guest).alias("guest"))
+    seats = F.when(key.eqNullSafe(F.col("first")), F.array(seat("range", 0), seat("host", 1))).otherwise(
+        F.array(seat("range", 0))
+    )
+    seated = (
+        _with_range(rows, order, bounds, "range")
+        .join(F.broadcast(hosts), "range")
+        .select(*order, "text", F.inline(seats))
+    )
+    in_order = Window.partitionBy("range").orderBy("guest", *(F.col(c).desc_nulls_last() for c in order), "text")
+    return seated.select(
         "range",
         F.row_number().over(in_order).alias("place"),
         "guest",
@@ -188,13 +186,20 @@ def fingerprints(docs: DataFrame, *, ident: str = "doc_id", text: str = "text",
     return joined(signed, ["id", "content"], ["signature"]).withColumn("fingerprint", as_text(F.col("signature")))
 
 
-def compare_with_edits(docs: DataFrame, *, ident: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def compare_with_edits(
+    docs: DataFrame,
+    *,
+    ident: str = "doc_id",
+    text: str = "text",
+    samples: int = SAMPLES,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
     """Fingerprints of each text, of its edited text, and their likeness to it and to the next text.
 
     The texts are shuffled once, to their ranges; words are counted and drawn where they are. A word
     with one count in both texts is drawn for both at once.
     """
-    beside = neighbours(docs, ident, text)
+    beside = neighbours(docs, ident, text, rows_per_range)
     half = edited(F.col("text"), F.coalesce("next", F.lit("")))
     texts = F.when(F.col("guest") == 1, F.array("text")).otherwise(F.array("text", half))
     rows = ["range", "place"]
