@@ -74,7 +74,7 @@ def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> Dat
     tables = counts.select(
         *keys,
         "term",
-        F.log("n").alias("log_n"),
+        F.when(F.col("term").isNotNull(), F.log("n")).alias("log_n"),
         table([_gamma_quantile(1 - p) for p in _CELLS]).alias("steps"),
         table([math.log(_gamma_quantile(p)) for p in _CELLS]).alias("heights"),
         F.explode(F.sequence(F.lit(0), F.lit(samples // AT_ONCE - 1))).alias("part"),
@@ -87,8 +87,8 @@ def draws(counts: DataFrame, keys: Sequence[str], samples: int = SAMPLES) -> Dat
         step, height = F.get("steps", cell(0)), F.get("heights", cell(16))
         offset = (part(32, 16) + 0.5) / 65536.0
         level = F.floor(F.col("log_n") / step + offset)
-        value = height - step * (level - offset + 1)
-        return F.min(F.when(F.col("term").isNotNull(), value)).alias(f"draw_{k}")
+        # Null where the term is: a condition around it would keep the hash and the step from being shared.
+        return F.min(height - step * (level - offset + 1)).alias(f"draw_{k}")
 
     least_values = tables.groupBy(*keys, "part").agg(*(least(k) for k in range(AT_ONCE)))
     return least_values.select(*keys, "part", F.array(*(f"draw_{k}" for k in range(AT_ONCE))).alias("drawn"))
