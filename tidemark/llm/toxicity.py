@@ -46,6 +46,7 @@ LEAST_STEPS = 100  # gradient steps in a round
 BATCH = 256
 SEED = 5
 _CHUNK = 1024  # windows that are scored at once
+_PART_BYTES = 1 << 20  # of text that training reads at once
 
 
 def inputs_of(words: batches.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,6 +74,31 @@ def inputs_of(words: batches.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return number, word, first, bucket[order].astype(np.int64)
 
 
+def inputs_of_windows(texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
+    """What :func:`inputs_of` gives for all windows of some documents, and where the tokens of each window begin;
+    read in parts of ``_PART_BYTES``, since the arrays of a part are many times its size."""
+    windows = [w for doc in texts for w in doc]
+    part = np.cumsum([len(w) + 1 for w in windows]) // _PART_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(windows)]
+    hashes, numbers, words, sizes, buckets, lengths = [], [], [], [], [], []
+    for a, b in zip(cuts, cuts[1:]):
+        found = batches.Words(windows[a:b])
+        number, word, first, bucket = inputs_of(found)
+        for kept, x in zip(
+            (hashes, numbers, words, sizes, buckets, lengths),
+            (np.unique(found.hash), number, word, np.diff(first), bucket, np.diff(found.first)),
+        ):
+            kept.append(x)
+    distinct, at = np.unique(np.concatenate(hashes), return_index=True)
+    number = np.concatenate([np.searchsorted(distinct, h)[n] for h, n in zip(hashes, numbers)])
+    size = np.concatenate(sizes)
+    begin = (np.cumsum(size) - size)[at]
+    first = np.concatenate(([0], np.cumsum(size[at])))
+    own = np.arange(first[-1]) + np.repeat(begin - first[:-1], size[at])
+    bounds = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+    return number, np.concatenate(words)[at], first, np.concatenate(buckets)[own], bounds
+
+
 def windows_of(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first token, end) of all windows; a text without tokens has one empty window."""
     length = np.diff(first)
@@ -248,10 +274,9 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
     come from, if they are not a fair sample."""
     if len(set(labels.tolist())) < 2:
         return Network(share=float(labels.mean()) if len(labels) else 0.5)
-    words = batches.Words([w for windows in texts for w in windows])
-    number, word, first, bucket = inputs_of(words)
-    start = words.first[:-1]
-    end = np.minimum(words.first[1:], start + WINDOW)
+    number, word, first, bucket, bounds = inputs_of_windows(texts)
+    start = bounds[:-1]
+    end = np.minimum(bounds[1:], start + WINDOW)
     doc = np.repeat(np.arange(len(texts)), [len(w) for w in texts])
     doc_first = np.searchsorted(doc, np.arange(len(texts)))
     toxic = labels[doc] == 1
