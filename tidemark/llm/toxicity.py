@@ -38,11 +38,11 @@ cloudpickle.register_pickle_by_value(batches)
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 13, 13
 DIM, HIDDEN = 12, 8
-MOST_LABELLED = 1000
+MOST_LABELLED = 1600
 MOST_WINDOWS = 40_000  # of the documents of a label; the one that reaches it is the last
-ROUNDS = 5
+ROUNDS = 6
 MOST_POSITIVE = 16_000  # windows in a round
-LEAST_STEPS = 100  # gradient steps in a round
+LEAST_STEPS = 150  # gradient steps in a round
 BATCH = 256
 SEED = 5
 _CHUNK = 1024  # windows that are scored at once
