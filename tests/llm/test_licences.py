@@ -1,3 +1,4 @@
+import random
 import re
 
 import brute
@@ -63,6 +64,53 @@ def test_no_template_keeps_out_another(spark):
     assert all(t.label in found[2 + i] for i, t in enumerate(licences.TEMPLATES))
 
 
+def _every_place(text):
+    """Labels and best share by trying every template at every place of the text."""
+    ws = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", brute.ascii_lower(text))
+    labels, best = set(), 0.0
+    for t in licences.TEMPLATES:
+        phrase = t.phrase.split()
+        for i in range(-t.phrase_at, len(ws)):
+            if ws[i + t.phrase_at : i + t.phrase_at + len(phrase)] != phrase:
+                continue
+            share = sum(0 <= i + j < len(ws) and ws[i + j] == w for j, w in enumerate(t.words)) / len(t.words)
+            if share >= licences.SHARE:
+                labels.add(t.label)
+                best = max(best, share)
+    return labels, best
+
+
+def test_labels_and_scores_against_every_place(spark):
+    """Notices with words changed, dropped or doubled, cut at either end, and two in a text."""
+    draw = random.Random(4)
+    texts = []
+    for n in range(400):
+        ws = []
+        for template in draw.sample(licences.TEMPLATES, 1 + n % 2):
+            own = list(template.words)
+            for _ in range(draw.randint(0, 4)):
+                at = draw.randrange(len(own))
+                own[at : at + 1] = draw.choice([["other"], [], [own[at]] * 2, ["the"], ["licence"]])
+                own = own or ["the"]
+            ws += brute.prose(n, draw.randint(0, 4)).split() + own[draw.choice([0, 0, 1, 2]) :]
+        texts.append(" ".join(ws))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    some = 0
+    for r in licences.scan(df).collect():
+        labels, best = _every_place(r["text"])
+        assert set(filter(None, r["labels"].split(","))) == labels | set(filter(None, r["base_labels"].split(","))), r["text"]
+        if labels:
+            assert abs(r["score"] - best) < 1e-12
+            some += 1
+    assert 100 < some < 400
+
+
+def test_kelvin_sign_is_no_k(spark):
+    own = [licences.Template("book", "take the book as you like it", "take the book")]
+    df = spark.createDataFrame([(1, own[0].text.upper()), (2, own[0].text.replace("k", "\u212a"))], "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in licences.scan(df, templates=own).collect()} == {1: "book", 2: ""}
+
+
 def test_awkward_rows(spark):
     df = brute.awkward(spark)
     found = licences.scan(df)

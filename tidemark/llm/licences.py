@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import private
+from .text import ascii_lower, private
 
 #: How many of a template's rarest words are indexed.
 INDEXED = 6
@@ -74,9 +74,8 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 
 
 def words_of(text: Column) -> Column:
-    """The words of a text as an array. ``lower`` differs from A-Z alone only in characters beyond
-    ASCII, which neither separate words nor occur in a template."""
-    spaced = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, " "))
+    """The words of a text as an array. Only A-Z are lowered: ``lower`` would make a Kelvin sign a k."""
+    spaced = F.trim(F.regexp_replace(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS, " "))
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
 
 
@@ -84,8 +83,7 @@ def document_frequencies(docs: DataFrame, text: str = "text", templates: Sequenc
     """The number of documents, and of those that hold each word of a template."""
     vocabulary = sorted({w for t in templates for w in t.words})
     found = (
-        docs.select(F.explode(F.array_distinct(words_of(F.col(text)))).alias("word"))
-        .filter(F.col("word").isin(vocabulary))
+        docs.select(F.explode(F.array_intersect(words_of(F.col(text)), F.lit(vocabulary))).alias("word"))
         .groupBy("word")
         .count()
     )
