@@ -1,10 +1,12 @@
 import hashlib
 
+import duckdb
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tidemark.llm import chat
+from tidemark.llm import QUERIES, chat
+from tidemark.llm.op3 import PROBE_TEXT, SQL
 
 T = chat.INSTRUCT
 SAID = st.lists(st.sampled_from([*T.controls, "\\", "<", "s>", "[", "/", "INST]", "é", "x", "\n"]), max_size=12).map("".join)
@@ -53,3 +55,25 @@ def test_a_conversation_that_holds_a_third_of_all_turns(spark):
     expected = "".join(f"{'assistant' if i % 2 else 'user'}\nt{i}\n" for i in range(0, 30_000, 3))
     assert found["n_turns"] == 10_000
     assert found["turns_sha256"] == hashlib.sha256(expected.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("kind, one, two", [("string", "'a'", "'b'"), ("int", "1", "2"), ("date", "DATE'2024-01-01'", "DATE'2024-01-02'")])
+def test_ids_of_any_type(spark, kind, one, two):
+    df = spark.sql(f"SELECT * FROM VALUES ({one}, 0L, 'user', 'x'), ({two}, 0L, 'user', 'y'), (NULL, 0L, 'user', 'z') AS t(conv_id, turn, role, text)")
+    found = chat.read_back(chat.segments(df))
+    assert found.schema["conv_id"].dataType.simpleString() == kind
+    said = {r["turns_sha256"]: r["conv_id"] for r in found.collect()}
+    ids = {r["text"]: r["conv_id"] for r in df.collect()}
+    assert said == {hashlib.sha256(f"user\n{t}\n".encode()).hexdigest(): i for t, i in ids.items()}
+
+
+def test_the_probe_is_no_conversation_of_the_table(spark, tmp_path):
+    """Conversation -1 of the table comes back beside the one made of control strings."""
+    rows = [(-1, 0, "user", "a"), (-1, 1, "assistant", "b"), (5, 0, "user", "c")]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    found = [(r["conv_id"], r["n_turns"], r["loss_chars"], r["status"]) for r in QUERIES["op3_format_chats"](spark, str(tmp_path)).collect()]
+    assert sorted(found) == [(-1, 2, 1, "complete"), (-1, 2, len(PROBE_TEXT), "complete"), (5, 1, 0, "open")]
+    sql = duckdb.sql(SQL.replace("FROM conversations", f"FROM '{path}/*.parquet'"))
+    kept = sql.project("conv_id, n_turns, loss_chars, status").fetchall()
+    assert sorted(kept) == sorted(found)

@@ -9,7 +9,7 @@ Markers that occur inside a text get a backslash after their first character, an
 text is doubled. A single backslash is thus never a text's own, so the escape is exactly reversible and no
 text can open or close a turn.
 
-Defined results: a null text or role is empty; a role that the template does not name is kept, in
+Defined results: conversation ids are of any type and come back as they are; a null text or role is empty; a role that the template does not name is kept, in
 markers of its own, and is an error of order; a null conversation id is a conversation; rows with one
 turn number are ordered by role and text; a conversation out of order is formatted like any other and
 reported as ``invalid``, one whose last turn needs an answer as ``open``; an empty table gives an
@@ -28,9 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import batches
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(batches)
 
-SEGMENTS = "conv_id long, turn_no long, part string, text string, loss boolean, status string"
+SEGMENT = "turn_no long, part string, text string, loss boolean, status string"
 
 
 @dataclass(frozen=True)
@@ -115,16 +118,16 @@ def segments(conversations: DataFrame, template: Template = INSTRUCT) -> DataFra
     conversation is in one partition. Its last row, of part ``end``, has no text but the status."""
 
     def run(parts):
-        conv, machine, turn_no, out = None, None, 0, []
+        conv, machine, turn_no, out, id_type = None, None, 0, [], None
 
         def packed():
             columns = list(zip(*out)) if out else [()] * 6
-            types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.string())
+            types = (id_type, pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.string())
             names = ("conv_id", "turn_no", "part", "text", "loss", "status")
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=list(names))
 
-        for batch in parts:
-            held = 0
+        for batch in (part for given in parts for part in batches.slices(given, "text")):
+            held, id_type = 0, batch.schema.field("conv_id").type
             for c, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text"))):
                 role, text = role or "", text or ""
                 if machine is None or c != conv:
@@ -145,9 +148,10 @@ def segments(conversations: DataFrame, template: Template = INSTRUCT) -> DataFra
             out.append((conv, turn_no, "end", "", False, machine.status))
             yield packed()
 
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
+    rows = conversations.select("conv_id", "turn", "role", "text")
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(run, SEGMENTS)
+    schema = T.StructType([T.StructField("conv_id", rows.schema["conv_id"].dataType), *T.StructType.fromDDL(SEGMENT)])
+    return ordered.select("conv_id", "role", "text").mapInArrow(run, schema)
 
 
 class Reader:
@@ -191,10 +195,10 @@ class Reader:
 def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
     """One row per conversation, from the result of :func:`segments`: the turns that a reader finds in the
     concatenated text, as a digest, and the text under the loss mask."""
-    schema = T.StructType.fromDDL(
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-        "formatted_chars long, status string"
+    found_in = T.StructType.fromDDL(
+        "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, status string"
     )
+    schema = T.StructType([T.StructField("conv_id", formatted.schema["conv_id"].dataType), *found_in])
 
     def run(parts):
         import hashlib
@@ -219,7 +223,8 @@ def read_back(formatted: DataFrame, template: Template = INSTRUCT) -> DataFrame:
                 if part == "end":
                     out.append((conv, n_turns, turns.hexdigest(), loss_chars, under.hexdigest(), n_chars, status))
             columns = list(zip(*out)) if out else [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string())
+            id_type = batch.schema.field("conv_id").type
+            kinds = (id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=schema.names)
 
     return formatted.mapInArrow(run, schema)

@@ -27,11 +27,11 @@ def _marker_chars_sql() -> str:
 
 SQL = f"""
 WITH said AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT {PROBE_ID}, t, r, '{PROBE_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+  SELECT FALSE AS probe, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT TRUE, {PROBE_ID}, t, r, '{PROBE_TEXT}' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
 steps AS (
   SELECT *, lag(role) OVER o AS before, lead(role) OVER o AS after
-  FROM said WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+  FROM said WINDOW o AS (PARTITION BY probe, conv_id ORDER BY turn NULLS FIRST, role, text)),
 checked AS (
   SELECT *, CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before = 'system' THEN role = 'user'
                  WHEN before = 'user' THEN role = 'assistant' WHEN before = 'assistant' THEN role = 'user'
@@ -44,16 +44,17 @@ SELECT conv_id, count(*) AS n_turns,
   ({len(chat.INSTRUCT.begin)} + sum({_marker_chars_sql()} + length({_escaped_sql('text')})))::BIGINT AS formatted_chars,
   CASE WHEN NOT bool_and(fits) THEN 'invalid'
        WHEN bool_or(after IS NULL AND role = 'assistant') THEN 'complete' ELSE 'open' END AS status
-FROM checked GROUP BY conv_id
+FROM checked GROUP BY probe, conv_id
 """
 
 
 @query("op3_format_chats", SQL)
 def op3_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Digests of every conversation and of one made of control strings."""
+    """Digests of every conversation and of one made of control strings, which is kept apart from a
+    conversation of the table that has its id."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(
         f"SELECT {PROBE_ID}L AS conv_id, turn, role, '{PROBE_TEXT}' AS text "
         "FROM VALUES (0L, 'user'), (1L, 'assistant') AS said(turn, role)"
-    )
-    return chat.read_back(chat.segments(given.unionByName(probe.select(*(F.col(c) for c in given.columns)))))
+    ).withColumn("conv_id", F.col("conv_id").cast(given.schema["conv_id"].dataType))
+    return chat.read_back(chat.segments(given)).unionByName(chat.read_back(chat.segments(probe)))
