@@ -96,6 +96,20 @@ def test_one_of_each(spark):
     assert kept == [(False, 3), (False, 4), (True, None)]
 
 
+def test_rows_that_stay_are_not_shuffled(spark):
+    """Equal rows, equal ids with other texts, and rows that differ in another column only; few rows go."""
+    texts = [brute.prose(i, 40) for i in range(60)]
+    docs = [(i, t, "a") for i, t in enumerate(texts)] + [(0, texts[0], "a")] * 3 + [(1, texts[1], c) for c in "bcd"] + [(2, texts[0], "e")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(7)
+    kept = simhash.one_of_each(df)
+    found = kept.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in found) == list(enumerate(texts))
+    least = min(df.where("doc_id = 1").selectExpr("xxhash64(doc_id, text, source) AS h", "source").collect())
+    assert [r["source"] for r in found if r["doc_id"] == 1] == [least["source"]]
+    plan = simhash.one_of_each(df.where("doc_id > 1"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+
+
 def test_awkward_rows(spark):
     df = brute.awkward(spark)
     kept = simhash.one_of_each(df)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.sizing import broadcast_if_small
 from ..session import materialize
 from . import batches, gray_index
 from .text import private
@@ -205,16 +206,30 @@ def components(printed: DataFrame, ident: str = "doc_id", name: str = "fingerpri
 def one_of_each(docs: DataFrame, *, ident: str = "doc_id", text: str = "text", words_per_shingle: int = WORDS_PER_SHINGLE, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each group: that of the least id, ties by a hash of the text and of the row.
 
-    The decision is made on a narrow table (id, hash of the text, fingerprint); the rows are
-    shuffled once, to meet it.
+    The decision is made on a narrow table (id, hashes of the text and of the row, fingerprint). Rows that go, few as a
+    rule, leave by an anti join with it, so that texts are not shuffled while their keys can be broadcast. Of equal
+    rows that stay, one is taken in a second pass, if there are any.
     """
-    key, content, print_, rank = (private(docs, f"simhash_{c}") for c in ("key", "content", "print", "rank"))
-    narrow = docs.select(F.col(ident).alias("key"), F.xxhash64(F.col(text)).alias("content"), F.col(text).alias("text"))
-    printed = materialize(with_fingerprint(narrow, "text", "print_of"), "simhash-narrow")
+    key, content, whole, rank = (private(docs, f"simhash_{c}") for c in ("key", "content", "whole", "rank"))
+    row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    narrow = docs.select(F.col(ident).alias("key"), F.xxhash64(F.col(text)).alias("content"), row_hash.alias("whole"), F.col(text).alias("text"))
+    printed = materialize(with_fingerprint(narrow, "text", "print_of", words_per_shingle), "simhash-narrow")
     groups = components(printed, "key", "print_of", radius).select("print", "root")
-    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "content"))
-    kept = printed.join(groups, F.col("print_of") == F.col("print")).groupBy("root").agg(first.alias("first"))
-    kept = kept.select(F.col("first.key").alias(key), F.col("first.content").alias(content))
-    same = F.col(ident).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text)) == F.col(content))
-    one = Window.partitionBy(ident, F.xxhash64(F.col(text))).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    return docs.join(kept, same, "left_semi").withColumn(rank, F.row_number().over(one)).filter(F.col(rank) == 1).drop(rank)
+    rows = printed.groupBy("print_of", "key", "content", "whole").agg((F.count(F.lit(1)) > 1).alias("again"))
+    own = F.struct(F.col("key").isNull().alias("none"), "key", "content", "whole")
+    placed = rows.join(groups, F.col("print_of") == F.col("print")).select("root", own.alias("own"), "again")
+    placed = materialize(placed, "simhash-placed")
+    first = materialize(placed.groupBy("root").agg(F.min("own").alias("first")), "simhash-first")
+    stays = F.col("own").eqNullSafe(F.col("first"))
+    gone = placed.join(first, "root").filter(~stays | F.col("again")).select(
+        F.col("own.key").alias(key), F.col("own.content").alias(content), F.col("own.whole").alias(whole), stays.alias(rank)
+    )
+    gone = materialize(gone, "simhash-gone")
+    same = F.col(ident).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text)) == F.col(content)) & (row_hash == F.col(whole))
+    kept = docs.join(broadcast_if_small(gone.drop(rank)), same, "left_anti")
+    repeated = gone.filter(rank).drop(rank)
+    if repeated.isEmpty():
+        return kept
+    one = Window.partitionBy(ident, F.xxhash64(F.col(text)), row_hash).orderBy(row_hash)
+    once = docs.join(broadcast_if_small(repeated), same, "left_semi").withColumn(rank, F.row_number().over(one))
+    return kept.union(once.filter(F.col(rank) == 1).drop(rank))
