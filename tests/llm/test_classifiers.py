@@ -1,3 +1,6 @@
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -128,6 +131,114 @@ def test_scores_do_not_depend_on_the_batch():
     assert np.allclose(together, np.concatenate([machine.scores([t], np.zeros(1)) for t in texts]))
 
 
+def tokens(text):
+    """Words of letters, digits and what is beyond ASCII; A-Z and accented Latin capitals in lower case."""
+    folded = "".join(c.lower() if c.isascii() or "À" <= c <= "Þ" and c != "×" else c for c in text)
+    return [w.encode() for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", folded)]
+
+
+def mixed(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+        x = (x ^ x >> shift) * factor % 2**64
+    return x
+
+
+def hashed(word):
+    return sum((b + 1) * pow(batches._PRIME, i, 2**64) for i, b in enumerate(word)) % 2**64
+
+
+def plain_toxicity(network, text):
+    """Token by token over every window, one at a time."""
+    p = {k: v.astype(float) for k, v in network.p.items()}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def inputs(word):
+        grams = [mixed((hashed(word[i : i + n]) + n) % 2**64) for n in (3, 4, 5) for i in range(len(word) - n + 1)]
+        grams += [mixed((hashed(word[:n]) + 100 + n) % 2**64) for n in (1, 4, 5, 6) if len(word) >= n]
+        own = p["word"][mixed(hashed(word)) >> 64 - toxicity.WORD_BITS]
+        return np.concatenate([own, np.mean([p["char"][g >> 64 - toxicity.CHAR_BITS] for g in grams], axis=0)])
+
+    def layer(xs, way):
+        h, out = np.zeros(toxicity.HIDDEN), []
+        for x in xs:
+            xr, xz, xn = np.split(x @ p[f"w{way}"] + p[f"b{way}"], 3)
+            ur, uz, un = np.split(h @ p[f"u{way}"], 3)
+            z, new = sigmoid(xz + uz), np.tanh(xn + sigmoid(xr + ur) * un)
+            h = z * h + (1 - z) * new
+            out.append(h)
+        return out
+
+    def logit(words):
+        if not words:
+            return p["bias"][0]  # no states to pool
+        xs = [inputs(w) for w in words]
+        states = np.array([np.concatenate(s) for s in zip(layer(xs, "f"), layer(xs[::-1], "b")[::-1])])
+        weight = np.exp(states @ p["attend"])
+        return (weight / weight.sum()) @ states @ p["out"] + p["bias"][0]
+
+    words, start, logits = tokens(text), 0, []
+    while True:
+        logits.append(logit(words[start : start + toxicity.WINDOW]))
+        if start + toxicity.WINDOW >= len(words):
+            return sigmoid(network.scale * max(logits) + network.shift)
+        start += toxicity.STRIDE
+
+
+def plain_quality(machine, text, length):
+    """Every pair of features, of one text."""
+    data, words = text.encode(), tokens(text)
+    kinds = np.zeros(quality.KINDS)
+    marks = [b for b in range(33, 127) if not chr(b).isalnum()]
+    for b in data:
+        c = chr(b)
+        kinds[0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3 if b == 32 else 4 if b in (10, 13)
+              else 5 if b >= 128 else 7 + marks.index(b) if b in marks else 6] += 1
+    lines, n, size = [x for x in data.split(b"\n") if x], len(words), max(1, len(data))
+    stats = [*kinds / size, np.log1p(n), len(set(words)) / max(1, n), max(Counter(words).values(), default=0) / max(1, n),
+             sum(map(len, words)) / max(1, n), len(set(lines)) / max(1, len(lines)), np.log1p(len(lines)), size / max(1, len(lines)), length]
+    values = {b: 1 + np.log(k) for b, k in Counter(mixed(hashed(w)) >> 64 - quality.WORD_BITS for w in words).items()}
+    norm = np.sqrt(sum(v * v for v in values.values()))
+    features, offset = [(b, v / norm) for b, v in values.items()], 1 << quality.WORD_BITS
+    for edge, x in zip(machine.edges, stats):
+        features.append((offset + sum(e < x for e in edge), quality.BIN_VALUE))
+        offset += len(edge) + 1
+    raw = machine.bias + sum(machine.weights[f] * v for f, v in features)
+    raw += sum(machine.factors[f] @ machine.factors[g] * v * w for i, (f, v) in enumerate(features) for g, w in features[i + 1 :])
+    return 1 / (1 + np.exp(-raw))
+
+
+def test_whole_queries_against_plain_forward_passes(spark, monkeypatch):
+    """The scores that op1 and op4 return, with the network (trained briefly) and the machine that they trained."""
+    trained = {}
+    monkeypatch.setattr(toxicity, "ROUNDS", 1)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 10)
+    for module, name in ((toxicity, "op1_toxicity_scores"), (quality, "op4_quality_scores")):
+        fit = module.fit
+        monkeypatch.setattr(module, "fit", lambda *a, fit=fit, name=name: trained.setdefault(name, fit(*a)))
+    small = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    found = {n: {r["doc_id"]: r["score"] for r in QUERIES[n](spark, small).collect()} for n in ("op1_toxicity_scores", "op4_quality_scores")}
+    assert all(scores.keys() == docs.keys() for scores in found.values())
+    some = sorted(docs)[::25]  # the plain passes take long
+    for i in some:
+        text = docs[i]["text"] or ""
+        n = docs[i]["n_chars"]
+        assert np.isclose(found["op1_toxicity_scores"][i], plain_toxicity(trained["op1_toxicity_scores"], text), atol=1e-3)
+        assert np.isclose(found["op4_quality_scores"][i], plain_quality(trained["op4_quality_scores"], text, -1.0 if n is None else np.log1p(max(n, 0))))
+
+
+@pytest.mark.parametrize("text", ["", " \n", "a", "É é x×y ÀB-c\nd", brute.prose(4, 33), brute.prose(5, 100) + " !! 12\n\nx"])
+def test_awkward_texts_against_plain_forward_passes(text):
+    rng = np.random.default_rng(3)
+    network = toxicity.Network.fresh()
+    network.scale, network.shift = 1.7, 0.2
+    assert np.isclose(network.scores([text.encode()])[0], plain_toxicity(network, text), atol=1e-4)
+    edges = [np.unique(rng.random(3)) for _ in range(quality.KINDS + 8)]
+    size = (1 << quality.WORD_BITS) + sum(len(e) + 1 for e in edges)
+    machine = quality.Machine(edges, 0.1, rng.normal(0, 0.1, size), rng.normal(0, 0.1, (size, quality.FACTORS)))
+    assert np.isclose(machine.scores([text.encode()], np.array([1.5]))[0], plain_quality(machine, text, 1.5))
+
+
 @pytest.mark.parametrize("labels", [[], [1], [0, 0]])
 def test_without_both_labels(spark, labels):
     docs = brute.awkward(spark)
