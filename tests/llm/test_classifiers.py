@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -80,6 +81,35 @@ def test_gradients_of_the_network():
             assert np.isclose((up - down) / (2 * eps), g[i], atol=2e-3), name
 
 
+def test_sums_of_rows_are_those_of_the_plain_way_in_less_time():
+    """To the bit, since training repeats whatever rounding differs; with rows as they are, and shared by several indices."""
+
+    def plain(index, rows, size):
+        out = np.zeros((size, rows.shape[1]), np.float32)
+        order = np.argsort(index, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(index[order]) != 0))
+        out[index[order][first]] = np.add.reduceat(rows[order], first, axis=0)
+        return out
+
+    def seconds(run):
+        took = []
+        for _ in range(7):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    rng = np.random.default_rng(8)
+    for n, width, size in ((45_000, 12, 1 << 13), (500, 24, 1 << 17), (1, 3, 2)):
+        index = (size * rng.random(n) ** 3).astype(np.int64)
+        rows, own = rng.normal(size=(n, width)).astype(np.float32), rng.integers(0, max(1, n // 9), n)
+        assert np.array_equal(toxicity._sums(index, rows, size), plain(index, rows, size))
+        assert np.array_equal(toxicity._sums(index, rows, size, own), plain(index, rows[own], size))
+        if n == 45_000:
+            assert seconds(lambda: toxicity._sums(index, rows, size, own)) < 0.8 * seconds(lambda: plain(index, rows[own], size))
+    assert not toxicity._sums(np.zeros(0, np.int64), np.zeros((0, 2), np.float32), 3).any()
+
+
 def test_all_windows_are_scored():
     first = np.array([0, 0, 10, 10 + 32, 42 + 33, 75 + 100])
     text, start, end = toxicity.windows_of(first)

@@ -113,17 +113,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _sums(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """The sum of the rows of each index."""
+def _sums(index: np.ndarray, rows: np.ndarray, size: int, own: np.ndarray | None = None) -> np.ndarray:
+    """The sum of the rows of each index; ``own`` gives the row of each index if they are not in order. Short numbers are
+    sorted by their digits, and a column at a time is summed, both several times as fast as the plain way."""
     out = np.zeros((size, rows.shape[1]), np.float32)
     if len(index):
-        order = np.argsort(index, kind="stable")
-        ordered = index[order]
+        short = index.astype(np.uint16) if size <= 1 << 16 else index
+        order = np.argsort(short, kind="stable")
+        ordered = short[order]
         first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-        out[ordered[first]] = np.add.reduceat(rows[order], first, axis=0)
+        out[ordered[first]] = _runs(rows, order if own is None else own[order], first)
     return out
 
 
+def _runs(rows: np.ndarray, taken: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of runs of rows: those numbered ``taken``, in which the runs begin at ``first``."""
+    columns = np.ascontiguousarray(rows.T)
+    return np.stack([np.add.reduceat(c[taken], first) for c in columns], axis=1)
+
+
+def _both_ways(windows: np.ndarray) -> np.ndarray:
+    """The columns of ``windows`` in order, each beside that from the end."""
+    turned = windows.T
+    return np.stack([turned, turned[::-1]], axis=1)
+
+
 @dataclass
 class Network:
     p: dict[str, np.ndarray] = field(default_factory=dict)
@@ -144,40 +158,43 @@ class Network:
 
     def embed(self, word: np.ndarray, first: np.ndarray, bucket: np.ndarray) -> np.ndarray:
         """Inputs of distinct words, each of which has at least one n-gram."""
-        chars = np.add.reduceat(self.p["char"][bucket], first[:-1], axis=0) if len(word) else np.zeros((0, DIM), np.float32)
+        chars = _runs(self.p["char"], bucket, first[:-1]) if len(word) else np.zeros((0, DIM), np.float32)
         return np.concatenate([self.p["word"][word], chars / np.maximum(np.diff(first), 1)[:, None]], axis=1).astype(np.float32)
 
-    def forward(self, gates: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
+    def forward(self, gates: tuple[np.ndarray, ...], ids: np.ndarray, mask: np.ndarray, keep: dict | None = None) -> np.ndarray:
         """Logits of windows (rows of ``ids``, numbers of words; ``mask`` is 0 on padding).
 
-        ``gates`` holds, for either direction, the inputs' part of the gates by word number."""
+        ``gates`` holds, for either direction, the inputs' part of the gates by word number. Both directions are
+        read at once: step t of one is beside step t from the end of the other."""
         n, steps = ids.shape
         states = np.zeros((steps, n, 2 * HIDDEN), np.float32)
-        turned, inside = np.ascontiguousarray(ids.T), np.ascontiguousarray(mask.T)[:, :, None]
-        for way, order in (("f", range(steps)), ("b", range(steps - 1, -1, -1))):
-            u, side = self.p[f"u{way}"], slice(0, HIDDEN) if way == "f" else slice(HIDDEN, None)
-            u_gate, u_new = np.ascontiguousarray(u[:, : 2 * HIDDEN]), np.ascontiguousarray(u[:, 2 * HIDDEN :])
-            x_gate, x_new = (np.ascontiguousarray(x) for x in np.split(gates[way], [2 * HIDDEN], axis=1))
-            h = np.zeros((n, HIDDEN), np.float32)
-            for t in order:
-                rz = x_gate[turned[t]]
-                rz += h @ u_gate
-                np.negative(rz, out=rz)
-                np.exp(rz, out=rz)
-                rz += 1
-                np.reciprocal(rz, out=rz)
-                r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-                hu = h @ u_new
-                new = x_new[turned[t]]
-                new += r * hu
-                np.tanh(new, out=new)
-                if keep is not None:
-                    keep[way, t] = (h, r, z, new, hu)
-                step = new - h
-                step *= 1 - z
-                step *= inside[t]
-                h = h + step
-                states[t, :, side] = h
+        turned, inside = _both_ways(ids), _both_ways(mask)[:, :, :, None]
+        x_gate, x_new = gates
+        u = np.stack([self.p["uf"], self.p["ub"]])
+        u_gate, u_new = np.ascontiguousarray(u[:, :, : 2 * HIDDEN]), np.ascontiguousarray(u[:, :, 2 * HIDDEN :])
+        h = np.zeros((2, n, HIDDEN), np.float32)
+        rows_gate, rows_new = (np.empty((2, n, x.shape[2]), x.dtype) for x in gates)
+        for t in range(steps):
+            rz, new = (np.empty_like(rows_gate), np.empty_like(rows_new)) if keep is not None else (rows_gate, rows_new)
+            for way in (0, 1):
+                np.take(x_gate[way], turned[t, way], axis=0, out=rz[way], mode="clip")
+                np.take(x_new[way], turned[t, way], axis=0, out=new[way], mode="clip")
+            rz += h @ u_gate
+            np.negative(rz, out=rz)
+            np.exp(rz, out=rz)
+            rz += 1
+            np.reciprocal(rz, out=rz)
+            r, z = rz[:, :, :HIDDEN], rz[:, :, HIDDEN:]
+            hu = h @ u_new
+            new += r * hu
+            np.tanh(new, out=new)
+            if keep is not None:
+                keep[t] = (h, r, z, new, hu)
+            step = new - h
+            step *= 1 - z
+            step *= inside[t]
+            h = h + step
+            states[t, :, :HIDDEN], states[steps - 1 - t, :, HIDDEN:] = h
         score = states @ self.p["attend"] - 1e9 * (1 - mask.T)
         weight = np.exp(score - score.max(axis=0))
         weight /= weight.sum(axis=0)
@@ -186,10 +203,11 @@ class Network:
             keep["states"], keep["weight"], keep["pooled"] = states, weight, pooled
         return pooled @ self.p["out"] + self.p["bias"][0]
 
-    def gates(self, inputs: np.ndarray) -> dict[str, np.ndarray]:
-        """The inputs' part of all gates, with one more row for padding."""
+    def gates(self, inputs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The inputs' part of all gates, by direction, with one more row for padding: of those that sum and of the new state."""
         padded = np.concatenate([inputs, np.zeros((1, 2 * DIM), np.float32)])
-        return {way: padded @ self.p[f"w{way}"] + self.p[f"b{way}"] for way in "fb"}
+        both = np.stack([padded @ self.p[f"w{way}"] + self.p[f"b{way}"] for way in "fb"])
+        return np.ascontiguousarray(both[:, :, : 2 * HIDDEN]), np.ascontiguousarray(both[:, :, 2 * HIDDEN :])
 
     def gradients(self, inputs: np.ndarray, ids: np.ndarray, mask: np.ndarray, label: np.ndarray, weight: np.ndarray):
         """Loss, gradients of the parameters but the embeddings, and of the inputs by word number."""
@@ -208,26 +226,30 @@ class Network:
         d_states = attention[:, :, None] * d_pooled + d_score[:, :, None] * self.p["attend"]
         steps = ids.shape[1]
         d_inputs = np.zeros((len(inputs) + 1, 2 * DIM), np.float32)
-        for way, order in (("f", range(steps - 1, -1, -1)), ("b", range(steps))):
-            u, side = self.p[f"u{way}"], slice(0, HIDDEN) if way == "f" else slice(HIDDEN, None)
-            d_u = np.zeros_like(u)
-            at_gates = np.empty((steps, len(ids), 3 * HIDDEN), np.float32)
-            dh = np.zeros((len(ids), HIDDEN), np.float32)
-            for t in order:
-                h, r, z, new, hu = keep[way, t]
-                dh = dh + d_states[t, :, side]
-                m = mask[:, t, None]
-                moved = m * dh
-                a_new = moved * (1 - z) * (1 - new * new)
-                a_z = -moved * (new - h) * z * (1 - z)
-                a_r = a_new * hu * r * (1 - r)
-                a = np.concatenate([a_r, a_z, a_new * r], axis=1)
-                d_u += h.T @ a
-                at_gates[t] = np.concatenate([a_r, a_z, a_new], axis=1)
-                dh = dh * (1 - m * (1 - z)) + a @ u.T
-            d_gates = _sums(ids.T.ravel(), at_gates.reshape(-1, 3 * HIDDEN), len(inputs) + 1)
-            g[f"u{way}"] = d_u
-            padded = np.concatenate([inputs, np.zeros((1, 2 * DIM), np.float32)])
+        u = np.stack([self.p["uf"], self.p["ub"]])
+        turned_u, inside = u.transpose(0, 2, 1), _both_ways(mask)[:, :, :, None]
+        d_u = np.zeros_like(u)
+        at_gates = np.empty((2, steps, len(ids), 3 * HIDDEN), np.float32)
+        dh = np.zeros((2, len(ids), HIDDEN), np.float32)
+        for t in range(steps - 1, -1, -1):
+            back = steps - 1 - t
+            h, r, z, new, hu = keep[t]
+            dh = dh + np.stack([d_states[t, :, :HIDDEN], d_states[back, :, HIDDEN:]])
+            m, rest = inside[t], 1 - z
+            moved = m * dh
+            a_new = moved * rest * (1 - new * new)
+            a_z = -moved * (new - h) * z * rest
+            a_r = a_new * hu * r * (1 - r)
+            a = np.concatenate([a_r, a_z, a_new * r], axis=2)
+            d_u += h.transpose(0, 2, 1) @ a
+            for way, at in ((0, t), (1, back)):
+                for part, x in enumerate((a_r, a_z, a_new)):
+                    at_gates[way, at, :, part * HIDDEN : (part + 1) * HIDDEN] = x[way]
+            dh = dh * (1 - m * rest) + a @ turned_u
+        padded = np.concatenate([inputs, np.zeros((1, 2 * DIM), np.float32)])
+        for number, way in enumerate("fb"):
+            d_gates = _sums(ids.T.ravel(), at_gates[number].reshape(-1, 3 * HIDDEN), len(inputs) + 1)
+            g[f"u{way}"] = d_u[number]
             g[f"w{way}"], g[f"b{way}"] = padded.T @ d_gates, d_gates.sum(axis=0)
             d_inputs += d_gates @ self.p[f"w{way}"].T
         return loss, g, d_inputs[:-1]
@@ -322,7 +344,7 @@ def train(texts: list[list[bytes]], labels: np.ndarray, share: float | None = No
                 d_inputs[dropped, :DIM] = 0
                 g["word"] = _sums(word[used], d_inputs[:, :DIM], 1 << WORD_BITS)
                 each = d_inputs[:, DIM:] / np.maximum(size, 1)[:, None]
-                g["char"] = _sums(grams, np.repeat(each, size, axis=0), 1 << CHAR_BITS)
+                g["char"] = _sums(grams, each, 1 << CHAR_BITS, np.repeat(np.arange(len(size)), size))
                 adam.step(g)
     logits = network.window_logits(network.embed(word, first, bucket), number, start, end)
     network.scale, network.shift = _calibrated(
