@@ -265,3 +265,107 @@ def test_without_training_texts(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
     found = py.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (found["n_known"], found["train_tokens"], found["base_score"], found["score"]) == (0, 0, 0.0, 0.0)
+
+
+def test_successors_of_rare_words_are_learned(spark, monkeypatch):
+    """Rare words have restaurants of their own, rare successors too: nearly as much is learned as when all are frequent."""
+    df = spark.createDataFrame([(i, chain(i, 400, 300)) for i in range(150)], "doc_id long, text string")
+    gains = []
+    for share in (py.CONTEXT_SHARE, 0.0033, 0.02):
+        monkeypatch.setattr(py, "CONTEXT_SHARE", share)
+        found = [r for r in py.score(df).collect() if zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2]
+        gains.append(sum(r["score"] - r["base_score"] for r in found) / sum(r["n_tokens"] for r in found))
+    assert gains[0] > 1 and all(abs(g / gains[0] - 1) < 0.01 for g in gains), gains
+
+
+@pytest.mark.parametrize("bucket_tokens", [1 << 18, 100])
+def test_pairs_of_rare_words_are_counted_in_full(spark, monkeypatch, bucket_tokens):
+    """By word after frequent words and by context after rare ones; of held-out texts, pairs of rare words without a customer. All
+    training words have a row."""
+    monkeypatch.setattr(py, "BUCKET_TOKENS", bucket_tokens)
+    monkeypatch.setattr(py, "CONTEXT_SHARE", 0.01)
+    texts = [("a b a c " * (i + 1) + "x y " * 3 + brute.prose(i, 20) + f" only{i} common" * 9).strip() for i in range(40)]
+    held = ["x y new words a new c", None]
+    df = spark.createDataFrame([(t, False) for t in texts] + [(t, True) for t in held], "text string, held boolean").repartition(3)
+    rows, contexts, model = py.trained(df)
+    words = [brute.words(t) for t in texts]
+    count = Counter(w for ws in words for w in [*ws, None])
+    known = {None if w is None else w: py.END if w is None else int(hashed(w)[0]) for w in {*count, *brute.words(held[0])}}
+    names = {h: w for w, h in known.items()}
+    expected, found, parts = Counter(), Counter(), []
+    for ws in words:
+        expected.update(zip([0, *ws], [*ws, None]))
+    for row in rows.collect():
+        r = py.Row.of(row.asDict())
+        parts += r.words.tolist()
+        for w, c, n in zip(r.word, r.context, r.customers):
+            found[0 if c > len(model.contexts) else names[int(model.contexts[c])], names[int(r.words[w])]] += int(n)
+    assert Counter(parts) == Counter(known[w] for w in count)
+    nobody = set()
+    for row in contexts.collect():
+        r = py.Row.of(row.asDict())
+        rare, more = (np.frombuffer(row[c], "<i8").tolist() for c in ("rare", "more"))
+        for u, c, n in zip(r.word, r.context, r.customers):
+            w = names[rare.pop(0) if c == py._RARE else int(model.words[c])]
+            if c == py._RARE:
+                assert more.pop(0) == count[w]
+            found[names[int(r.words[u])], w] += int(n)
+            if not n:
+                nobody.add((names[int(r.words[u])], w))
+    assert found == expected and sum(expected.values()) == model.trained
+    assert nobody == {("new", "words")}
+    assert any(w not in count or count[w] < 0.01 * model.trained for w in count) and len(model.contexts) < 10
+
+
+def test_probabilities_after_rare_words(spark, monkeypatch):
+    """They follow the rule, with the root's customers from all contexts, and add up to one."""
+    monkeypatch.setattr(py, "CONTEXT_SHARE", 0.02)
+    texts = [("a b a c " * (i + 1) + "x y " * 3 + brute.prose(i, 20) + " only common" * 9).strip() for i in range(40)]
+    df = spark.createDataFrame([(t, False) for t in texts] + [("x z x of", True)], "text string, held boolean").repartition(3)
+    rows, contexts, model = py.trained(df)
+    root: list[dict[int, float]] = [{} for _ in range(py.SAMPLES)]
+    tables: Counter = Counter()
+    for row in rows.collect():
+        r = py.Row.of(row.asDict())
+        each = [np.frombuffer(row[c], "<f8").reshape(py.SAMPLES, -1) for c in ("root_customers", "root_tables")]
+        tables.update(dict(zip(r.words.tolist(), each[0][-1])))
+        for s in range(py.SAMPLES):
+            root[s] |= dict(zip(r.words.tolist(), model.root(each[0][s], each[1][s], s)))
+    zero = np.zeros(1)
+    unknown = [float(model.root(zero, zero, s)[0]) for s in range(py.SAMPLES)]
+    assert len(root[0]) == model.known and all(math.isclose(sum(x.values()) + u, 1, rel_tol=1e-9) for x, u in zip(root, unknown))
+    checked = 0
+    for row in contexts.collect():
+        r, several = py.Row.of(row.asDict()), np.frombuffer(row["samples"], "<u4").reshape(py.SAMPLES, -1)
+        rare, at = np.frombuffer(row["rare"], "<i8").tolist(), np.cumsum(r.customers > 1) - 1
+        partner = [rare.pop(0) if c == py._RARE else int(model.words[c]) for c in r.context]
+        of = py.context_probabilities(row.asDict(), model)
+        found, _ = of(r.word, r.context, np.array(partner))
+        for u in range(len(r.words)):
+            mine = np.flatnonzero(r.word == u)
+            n = r.customers[mine]
+            total, given = np.zeros(py.SAMPLES), {}
+            for s in range(py.SAMPLES):
+                t = np.where(n > 1, several[s][at[mine]] if several.shape[1] else 0, n)
+                rest = py.STRENGTH + py.DISCOUNT * t.sum()
+                own = {partner[i]: max(a - py.DISCOUNT * b, 0) for i, a, b in zip(mine, n, t)}
+                each = {w: (own.get(w, 0) + rest * p) / (py.STRENGTH + n.sum()) for w, p in (root[s] | {0: unknown[s]}).items()}
+                total[s] = sum(each.values())
+                for i in mine:
+                    given[i] = given.get(i, 0) + each.get(partner[i], each[0]) / py.SAMPLES
+            assert np.allclose(total, 1, rtol=1e-9)
+            assert all(math.isclose(found[i], p, rel_tol=1e-9) for i, p in given.items())
+            checked += len(given)
+    assert checked > 100
+    x, z, never = hashed("x", "z", "never")
+    for row in contexts.collect():
+        r = py.Row.of(row.asDict())
+        if x in r.words:
+            assert x != z and z in np.frombuffer(row["rare"], "<i8")
+    empty, count = py.context_probabilities(None, model)(np.array([-1, -1]), np.array([0, py._RARE]), np.array([0, never]))
+    assert math.isclose(empty[0], np.mean([x[int(model.words[0])] for x in root]), rel_tol=1e-9)
+    assert math.isclose(empty[1], np.mean(unknown), rel_tol=1e-9) and count.tolist() == [model.counts[0], 0]
+
+
+def test_sweeps_and_samples_of_the_first_form():
+    assert (py.TURNS, py.SWEEPS, py.SAMPLES) == (2, 4, 3)
