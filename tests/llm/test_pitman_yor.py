@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -369,3 +370,25 @@ def test_probabilities_after_rare_words(spark, monkeypatch):
 
 def test_sweeps_and_samples_of_the_first_form():
     assert (py.TURNS, py.SWEEPS, py.SAMPLES) == (2, 4, 3)
+
+
+def test_texts_of_a_task_are_packed_together(spark):
+    """6 MB of texts are one part, with one row a bucket, not a part for each 1.5 MB; and their tokens are those of the texts one by one."""
+
+    def parts(given):
+        for number, part in py._numbered(given):
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([part.num_rows])], names=["number", "n"])
+
+    texts = [(brute.prose(i, 30) + " ") * 12 for i in range(2500)]
+    assert sum(map(len, texts)) > 4 * py._PART_BYTES // 2
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert [r["n"] for r in df.mapInArrow(parts, "number long, n long").collect()] == [2500]
+    some = [t.encode() for t in [*texts[:40], "", "a"]]
+    whole, pieces = py.Tokens.of(some, hashed("a")), None
+    old, py._PART_BYTES = py._PART_BYTES, 1000
+    try:
+        pieces = py.Tokens.together(some, hashed("a"))
+    finally:
+        py._PART_BYTES = old
+    each = [Counter(zip(t.hash.tolist(), t.doc.tolist(), np.where(t.before >= 0, t.hash[t.before], 0).tolist())) for t in (whole, pieces)]
+    assert each[0] == each[1]
